@@ -147,7 +147,7 @@ def truncated_member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
         "elig_status",
         F.col("costs").cast("double").alias("costs"),
         "memmos",
-        cost.truncated(F.col("costs"), UNLISTED_THRESHOLD_BASIC).alias("costs_truncated"),
+        F.expr(cost.truncated("costs", UNLISTED_THRESHOLD_BASIC)).alias("costs_truncated"),
     )
 
 
@@ -198,18 +198,12 @@ def only(frame: DataFrame, *metric_ids: str) -> DataFrame:
     return frame.where(F.col("metric_id").isin(*metric_ids))
 
 
-def snf_summary(tables: ClaimTables, cohort: Cohort, dims: list[str]) -> DataFrame:
-    return risk.with_benefit_type(
-        snf.stay_summary(tables, cohort, dims), tables.ref_link_hcg_researcher_line
-    )
-
-
-def er_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
-    return risk.with_benefit_type(er.visit_summary(tables, cohort), tables.ref_link_hcg_researcher_line)
+def snf_part(measures: list) -> Plan:
+    return lambda t, c: snf.snf_metrics(t, c, measures=measures)
 
 
-def snf_counts(measures: list) -> Plan:
-    return lambda t, c: snf.evaluate(snf_summary(t, c, snf.dims_of(measures)), measures)
+def er_part(measures: list) -> Plan:
+    return lambda t, c: er.er_metrics(t, c, measures=measures)
 
 
 def inpatient_counts(measures: list) -> Plan:
@@ -244,15 +238,15 @@ MEASURE_PLANS: dict[str, Plan] = {
     "imaging_and_visits": lambda t, c: outpatient.outpatient_metrics(t, c, adjusted=outpatient.IMAGING_AND_VISITS),
     "office_visits": lambda t, c: outpatient.outpatient_metrics(t, c, adjusted=outpatient.OFFICE_VISITS),
     "psp_procedures": lambda t, c: outpatient.outpatient_metrics(t, c, counts=outpatient.PSP_PROCEDURES),
-    "snf_admits": lambda t, c: snf.snf_admits(snf_summary(t, c, [])).drop("btnumber"),
-    "snf_admits_adjusted": lambda t, c: snf.snf_adjusted_admits(t, c, snf_summary(t, c, [])),
-    "snf_long_stays": snf_counts(snf.LONG_STAYS),
-    "snf_all_cause_readmissions": snf_counts(snf.ALL_CAUSE_READMITS),
-    "snf_facilities": lambda t, c: snf.distinct_facilities(snf.stay_summary(t, c, ["providerid"])),
-    "snf_flagged_readmissions": snf_counts(snf.FLAGGED_READMITS),
-    "er_visits": lambda t, c: er.er_visits(er_summary(t, c)).drop("btnumber"),
-    "er_visits_adjusted": lambda t, c: er.er_adjusted_visits(t, c, er_summary(t, c)),
-    "er_visit_classes": lambda t, c: er.evaluate(er_summary(t, c), er.CLASSIFIED),
+    "snf_admits": snf_part(snf.ADMITS),
+    "snf_admits_adjusted": lambda t, c: only(snf.snf_metrics(t, c), snf.ADJUSTED_ID),
+    "snf_long_stays": snf_part(snf.LONG_STAYS),
+    "snf_all_cause_readmissions": snf_part(snf.ALL_CAUSE_READMITS),
+    "snf_facilities": snf_part(snf.FACILITIES),
+    "snf_flagged_readmissions": snf_part(snf.FLAGGED_READMITS),
+    "er_visits": er_part(er.VISITS),
+    "er_visits_adjusted": lambda t, c: only(er.er_metrics(t, c), er.ADJUSTED_ID),
+    "er_visit_classes": er_part(er.CLASSIFIED),
     "pac_episodes": lambda t, c: pac.pac_metrics(t, c, pac.EPISODES),
     "pac_hospital_deaths": lambda t, c: pac.pac_metrics(t, c, pac.DEATHS),
     "pac_post_acute_use": lambda t, c: pac.pac_metrics(t, c, pac.POST_ACUTE_USE),

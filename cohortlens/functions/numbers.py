@@ -10,18 +10,22 @@ EXACT = "decimal(28,8)"
 EXACT_TOTAL = "decimal(28,6)"
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum fractional values as decimals and return a double.
+def exact_sum_sql(value: str) -> str:
+    """Sum a fractional SQL expression as decimals, giving a double.
 
     Floating-point addition is not associative, so a plain sum of doubles would change in its last digits
     with the partitioning.
     """
-    return F.sum(value.cast(EXACT)).cast("double")
+    return f"CAST(sum(CAST({value} AS {EXACT})) AS double)"
 
 
-def weighted_mean(value: Column, weight: Column) -> Column:
+def exact_sum(value: str) -> Column:
+    return F.expr(exact_sum_sql(value))
+
+
+def weighted_mean(value: str, weight: str) -> Column:
     """``sum(value * weight) / sum(weight)``; the weight of a NULL value still counts."""
-    return F.try_divide(exact_sum(value * weight), exact_sum(weight))
+    return F.expr(f"try_divide({exact_sum_sql(f'({value}) * ({weight})')}, {exact_sum_sql(weight)})")
 
 
 def is_yes(flag: str) -> Column:

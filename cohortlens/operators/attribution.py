@@ -87,7 +87,7 @@ def daily_sums(
     """Sum lines per member, month, coverage date and dimension, before anything is joined."""
     dated = policy.dated(in_cohort_months(claims, cohort, policy))
     return dated.groupBy("member_id", "claim_month", "covered_date", *dims).agg(
-        *[F.expr(f"sum({value})").alias(name) for name, value in sums.items()]
+        *[F.expr(f"sum({value}) AS {name}") for name, value in sums.items()]
     )
 
 
@@ -102,4 +102,4 @@ def attributed_sums(
     """Sums of attributed lines by status and dimension (and member): the summary that measures read."""
     attributed = attribute(daily_sums(claims, cohort, policy, dims, sums), cohort, policy)
     keys = (["member_id"] if per_member else []) + ["elig_status", *dims]
-    return attributed.groupBy(*keys).agg(*[F.sum(F.col(name) * F.col("copies")).alias(name) for name in sums])
+    return attributed.groupBy(*keys).agg(*[F.expr(f"sum({name} * copies) AS {name}") for name in sums])

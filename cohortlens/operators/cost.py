@@ -1,4 +1,4 @@
-"""Cost truncation at a member's yearly limit, and paid-date runout."""
+"""Cost truncation at a member's yearly limit, and paid-date runout, as SQL expressions."""
 
 from __future__ import annotations
 
@@ -10,21 +10,15 @@ from pyspark.sql import functions as F
 from cohortlens.config import TRUNCATION_THRESHOLDS
 
 
-def truncation_limit(unlisted: int) -> Column:
+def truncation_limit(unlisted: int) -> str:
     """The status's yearly limit, prorated to the member's covered months (``memmos``)."""
-    chain = reduce(
-        lambda when, status: when.when(
-            F.col("elig_status") == status, F.lit(TRUNCATION_THRESHOLDS[status]) * F.col("memmos") / 12
-        ),
-        TRUNCATION_THRESHOLDS,
-        F,
-    )
-    return chain.otherwise(F.lit(float(unlisted)))
+    whens = " ".join(f"WHEN '{status}' THEN {limit} * memmos / 12" for status, limit in TRUNCATION_THRESHOLDS.items())
+    return f"CASE elig_status {whens} ELSE CAST({unlisted} AS double) END"
 
 
-def truncated(cost: Column, unlisted: int) -> Column:
+def truncated(cost: str, unlisted: int) -> str:
     """``cost`` or the member's limit, whichever is less; a NULL limit does not bind."""
-    return F.least(truncation_limit(unlisted), cost.cast("double"))
+    return f"least({truncation_limit(unlisted)}, CAST({cost} AS double))"
 
 
 def cutoffs_met(paid_date: str, cutoffs: dict[str, Column]) -> Column:
@@ -37,6 +31,6 @@ def cutoffs_met(paid_date: str, cutoffs: dict[str, Column]) -> Column:
     )
 
 
-def met_cutoff(met: str, cutoffs: dict[str, Column], name: str) -> Column:
+def met_cutoff(met: str, cutoffs: tuple[str, ...], name: str) -> str:
     """Whether a row with this count of met cut-offs made the one called ``name``."""
-    return F.col(met) >= len(cutoffs) - list(cutoffs).index(name)
+    return f"{met} >= {len(cutoffs) - cutoffs.index(name)}"

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.numbers import EXACT
+from cohortlens.functions.numbers import EXACT, exact_sum_sql
 
 METRIC_COLUMNS = ["elig_status", "metric_id", "metric_value"]
 
@@ -39,25 +39,53 @@ def evaluate(summary: DataFrame, measures: list[Measure], by: tuple[str, ...] =
     metric row, and one whose qualifying values are all NULL gets NULL. Two measures that arrive at the same
     id stay two rows.
     """
-    contributions = F.array(
-        *[
-            F.struct(
-                F.coalesce(F.expr(m.where), F.lit(False)).alias("keep"),
-                F.lit(position).alias("measure"),
-                (F.expr(m.id_from) if m.id_from else F.lit(m.metric_id)).alias("metric_id"),
-                F.expr(m.value).cast(EXACT).alias("part"),
-            )
-            for position, m in enumerate(measures)
-        ]
+    # One SQL expression for the lot: building it column by column costs a driver round trip for each.
+    contributions = ", ".join(
+        f"struct(coalesce({m.where}, false) AS keep, {position} AS measure, "
+        f"{m.id_from or quoted(m.metric_id)} AS metric_id, CAST({m.value} AS {EXACT}) AS part)"
+        for position, m in enumerate(measures)
     )
     return (
-        summary.select("elig_status", *by, F.inline(F.filter(contributions, lambda c: c["keep"])))
+        summary.selectExpr("elig_status", *by, f"inline(filter(array({contributions}), c -> c.keep))")
         .groupBy("elig_status", *by, "measure", "metric_id")
         .agg(F.sum("part").cast("double").alias("metric_value"))
         .select("elig_status", *by, "metric_id", "metric_value")
     )
 
 
+def again(where: str = "true") -> Measure:
+    """A measure over metric rows that were evaluated at a finer grain: same ids, values added up."""
+    return Measure("", "metric_value", where, id_from="metric_id")
+
+
+def ids_of(measures: Iterable[Measure]) -> str:
+    """A SQL condition that holds for the fixed ids of ``measures``."""
+    return f"metric_id IN ({', '.join(quoted(m.metric_id) for m in measures)})"
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def usage_of(rows: DataFrame, measures: list[Measure], value: str) -> DataFrame:
+    """The sum of ``measures`` per status and benefit type, out of finer metric rows.
+
+    Types that only other measures have are dropped after the sum: a filter on the id would be pushed into the
+    plan of ``rows``, which then could not be shared with those who read all of them.
+    """
+    wanted = ids_of(measures)
+    return (
+        rows.groupBy("elig_status", "btnumber")
+        .agg(
+            F.expr(f"{exact_sum_sql(f'if({wanted}, metric_value, NULL)')} AS {value}"),
+            F.expr(f"bool_or({wanted}) AS present"),
+        )
+        .where("present")
+        .drop("present")
+    )
+
+
 def metric_rows(frame: DataFrame, metric_id: str, value: str) -> DataFrame:
     """One column of an already aggregated frame as metric rows."""
     return frame.select(

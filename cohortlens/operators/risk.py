@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +23,7 @@ def with_benefit_type(summary: DataFrame, ref_link: DataFrame) -> DataFrame:
 
 def average_risk(covered_months: DataFrame, digits: int, null_as_zero: bool = False) -> DataFrame:
     """Memmos-weighted mean risk score per status, rounded half-even."""
-    mean = F.bround(weighted_mean(F.col("risk_score"), F.col("memmos")), digits)
+    mean = F.bround(weighted_mean("risk_score", "memmos"), digits)
     if null_as_zero:
         mean = F.coalesce(mean, F.lit(0.0))
     return covered_months.groupBy("elig_status").agg(mean.alias("risk_score_avg"))
@@ -34,16 +32,14 @@ def average_risk(covered_months: DataFrame, digits: int, null_as_zero: bool = Fa
 def band_table(ref_hcg_bt: DataFrame) -> DataFrame:
     """Adjustment factors per benefit type with the closed risk interval of their band."""
 
-    def bound(side: int) -> Column:
-        chain = reduce(
-            lambda when, band: when.when(F.col("riskband") == band, F.lit(RISK_BANDS[band][side])), RISK_BANDS, F
-        )
-        return chain.otherwise(F.lit(OPEN_RISK_BAND[side]))
+    def bound(side: int) -> str:
+        whens = " ".join(f"WHEN '{band}' THEN {bounds[side]}D" for band, bounds in RISK_BANDS.items())
+        return f"CASE riskband {whens} ELSE {OPEN_RISK_BAND[side]}D END"
 
-    return ref_hcg_bt.where((F.col("lob") == MEDICARE) & (F.col("basis") == HCC_BASIS)).select(
+    return ref_hcg_bt.where((F.col("lob") == MEDICARE) & (F.col("basis") == HCC_BASIS)).selectExpr(
         "btnumber",
-        bound(0).alias("band_low"),
-        bound(1).alias("band_high"),
+        f"{bound(0)} AS band_low",
+        f"{bound(1)} AS band_high",
         "admitfactor",
         "utilfactor",
         "pmpmfactor",
@@ -63,7 +59,7 @@ def adjust_strict(usage: DataFrame, risk: DataFrame, bands: DataFrame, factor: s
         usage.join(risk, "elig_status")
         .join(bands, "btnumber")
         .where(_in_band())
-        .withColumn("adjusted", F.try_divide(F.col(value).cast("double"), F.col(factor)))
+        .withColumn("adjusted", F.expr(f"try_divide(CAST({value} AS double), {factor})"))
     )
 
 
@@ -72,10 +68,9 @@ def adjust_lenient(usage: DataFrame, risk: DataFrame, bands: DataFrame, factor:
 
     A benefit type whose factors are NULL is kept once per band, whatever the risk.
     """
-    no_factor = F.col(factor).isNull()
     return (
         usage.join(risk, "elig_status", "left")
         .join(bands, "btnumber", "left")
-        .where(no_factor | _in_band())
-        .withColumn("adjusted", F.try_divide(F.col(value).cast("double"), F.coalesce(F.col(factor), F.lit(1.0))))
+        .where(F.col(factor).isNull() | _in_band())
+        .withColumn("adjusted", F.expr(f"try_divide(CAST({value} AS double), coalesce({factor}, 1D))"))
     )

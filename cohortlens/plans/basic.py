@@ -50,8 +50,8 @@ def assigned_members(cohort: Cohort) -> DataFrame:
 def membership(cohort: Cohort) -> DataFrame:
     """Covered member months and their mean risk score per status."""
     totals = cohort.covered_months.groupBy("elig_status").agg(
-        exact_sum(F.col("memmos")).alias("memmos_sum"),
-        weighted_mean(F.col("risk_score"), F.col("memmos")).alias("riskscr_1_avg"),
+        exact_sum("memmos").alias("memmos_sum"),
+        weighted_mean("risk_score", "memmos").alias("riskscr_1_avg"),
     )
     return wide_to_metrics(totals, ["memmos_sum", "riskscr_1_avg"])
 
@@ -59,11 +59,10 @@ def membership(cohort: Cohort) -> DataFrame:
 def member_age(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     """Age in years at each member month, weighted by its covered share."""
     births = tables.members.select("member_id", "dob")
-    age = F.datediff("elig_month", "dob") / F.lit(365.25).cast("double")
     totals = (
         cohort.covered_months.join(births, "member_id")
         .groupBy("elig_status")
-        .agg(exact_sum(F.col("memmos") * age).alias("total_age"))
+        .agg(exact_sum("memmos * (datediff(elig_month, dob) / 365.25D)").alias("total_age"))
     )
     return metric_rows(totals, "total_age", "total_age")
 
@@ -83,7 +82,7 @@ def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
         .groupBy("member_id", "elig_status")
         .agg(
             F.sum("costs").alias("costs"),
-            exact_sum(F.col("memmos")).alias("memmos"),
+            exact_sum("memmos").alias("memmos"),
             F.bool_or("has_claims").alias("has_claims"),
         )
         .where("has_claims")
@@ -92,13 +91,13 @@ def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
 
 def costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     """Total cost, and total cost with each member's cost cut at the prorated yearly limit."""
-    cost = F.col("costs").cast("double")
+    cut = truncated("costs", UNLISTED_THRESHOLD_BASIC)
     totals = (
         member_costs(tables, cohort)
         .groupBy("elig_status")
         .agg(
             F.sum("costs").alias("prm_costs_sum_all_services"),
-            exact_sum(F.when(cost.isNotNull(), truncated(cost, UNLISTED_THRESHOLD_BASIC))).alias("prm_costs_truncated"),
+            exact_sum(f"if(costs IS NULL, NULL, {cut})").alias("prm_costs_truncated"),
         )
     )
     return wide_to_metrics(totals, ["prm_costs_sum_all_services", "prm_costs_truncated"])

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from cohortlens.functions.numbers import EXACT
 from cohortlens.operators.attribution import BY_LINE_DATE, attribute, in_cohort_months
 from cohortlens.operators.cohort import Cohort
-from cohortlens.operators.measures import Measure, evaluate, metric_rows, stack
+from cohortlens.operators.measures import Measure, again, evaluate, ids_of, metric_rows, stack, usage_of
 from cohortlens.operators.risk import adjust_strict, average_risk, band_table, with_benefit_type
 from cohortlens.sources.tables import NYU_PREFIX, ClaimTables
 
 ER_PREFIX = "O11"
 
-VISITS = Measure("ED", "util")
+VISITS = [Measure("ED", "util")]
 ADJUSTED_ID = "ED_rskadj"
 # A NULL sum still makes a row: the visits exist, their classification does not.
 CLASSIFIED = [
@@ -24,17 +24,20 @@ CLASSIFIED = [
     Measure("ED_injury", "prm_nyu_injury"),
     Measure("ED_nonemer", "prm_nyu_nonemergent"),
 ]
+MEASURES = [*VISITS, *CLASSIFIED]
 
 
-def er_metrics(tables: ClaimTables, cohort: Cohort, consolidate: bool = False) -> DataFrame:
+def er_metrics(
+    tables: ClaimTables, cohort: Cohort, consolidate: bool = False, measures: list[Measure] | None = None
+) -> DataFrame:
+    """All emergency measures, or the ones given, from one pass over the visits."""
+    measures = measures or MEASURES
     typed = with_benefit_type(visit_summary(tables, cohort), tables.ref_link_hcg_researcher_line)
-    return stack(
-        [
-            er_visits(typed, consolidate),
-            er_adjusted_visits(tables, cohort, typed, consolidate),
-            evaluate(typed, CLASSIFIED),
-        ]
-    )
+    rows = evaluate(typed, measures, by=("btnumber",))
+    parts = [unadjusted(rows, consolidate)]
+    if measures is MEASURES:
+        parts.append(adjusted_visits(tables, cohort, rows, consolidate))
+    return stack(parts)
 
 
 def visit_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
@@ -61,18 +64,18 @@ def visit_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     )
 
 
-def er_visits(typed: DataFrame, consolidate: bool = False) -> DataFrame:
-    """Visits per status: one row for each benefit type unless consolidated."""
-    return evaluate(typed, [VISITS], by=() if consolidate else ("btnumber",))
+def unadjusted(rows: DataFrame, consolidate: bool = False) -> DataFrame:
+    """Visits keep one row per benefit type unless consolidated; everything else is per status."""
+    kept_apart = "false" if consolidate else ids_of(VISITS)
+    typed = rows.withColumn("kept_type", F.expr(f"if({kept_apart}, btnumber, NULL)"))
+    return evaluate(typed, [again()], by=("kept_type",))
 
 
-def er_adjusted_visits(
-    tables: ClaimTables, cohort: Cohort, typed: DataFrame, consolidate: bool = False
-) -> DataFrame:
-    """Risk-adjusted visits; the risk score is rounded to two digits here."""
-    usage = evaluate(typed, [VISITS], by=("btnumber",))
+def adjusted_visits(tables: ClaimTables, cohort: Cohort, rows: DataFrame, consolidate: bool = False) -> DataFrame:
+    """Risk-adjusted visits, for benefit types that have a band; risk is rounded to two digits here."""
+    usage = usage_of(rows, VISITS, "visits")
     risk = average_risk(cohort.covered_months, digits=2)
-    adjusted = adjust_strict(usage, risk, band_table(tables.ref_hcg_bt), "utilfactor", "metric_value")
+    adjusted = adjust_strict(usage, risk, band_table(tables.ref_hcg_bt), "utilfactor", "visits")
     if consolidate:
         return evaluate(adjusted, [Measure(ADJUSTED_ID, "adjusted")])
     return metric_rows(adjusted, ADJUSTED_ID, "adjusted")

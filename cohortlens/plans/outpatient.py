@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.attribution import BY_LINE_DATE, attributed_sums
 from cohortlens.operators.cohort import Cohort
-from cohortlens.operators.measures import Measure, evaluate, stack
+from cohortlens.operators.measures import Measure, again, dims_of, evaluate, ids_of, stack
 from cohortlens.operators.risk import adjust_strict, average_risk, band_table, with_benefit_type
 from cohortlens.sources.tables import ClaimTables
 
@@ -38,38 +38,45 @@ def outpatient_metrics(
     adjusted: list[Measure] | None = None,
     counts: list[Measure] | None = None,
 ) -> DataFrame:
-    """All outpatient measures, or just the ones given; both parts read the same summary."""
+    """All outpatient measures, or just the ones given."""
     if adjusted is None and counts is None:
         adjusted, counts = ADJUSTED, PSP_PROCEDURES
-    summary = with_benefit_type(visit_summary(tables, cohort, bool(counts)), tables.ref_link_hcg_researcher_line)
+    adjusted, counts = adjusted or [], counts or []
+    summary = visit_summary(tables, cohort, [*adjusted, *counts])
+    typed = with_benefit_type(summary, tables.ref_link_hcg_researcher_line)
+    # Both parts start from these rows and choose theirs by value, not by a filter, so that Spark computes the
+    # rows once.
+    rows = evaluate(typed, [*adjusted, *counts], by=("btnumber",))
     parts = []
     if adjusted:
-        parts.append(risk_adjusted_usage(tables, cohort, summary, adjusted))
+        parts.append(risk_adjusted_usage(tables, cohort, rows, adjusted))
     if counts:
-        parts.append(evaluate(summary, counts))
+        parts.append(evaluate(rows, [again(f"NOT {ids_of(ADJUSTED)}")]))
     return stack(parts)
 
 
-def visit_summary(tables: ClaimTables, cohort: Cohort, with_psp: bool) -> DataFrame:
-    """Attributed usage and cases per status and service line, and per preventable category when asked for."""
+def visit_summary(tables: ClaimTables, cohort: Cohort, measures: list[Measure]) -> DataFrame:
+    """Attributed usage and cases per status, service line and the dimensions the measures need."""
     line = F.col("prm_line")
     claims = tables.outclaims.where(reduce(lambda any_of, p: any_of | p, [line.startswith(p) for p in PREFIXES]))
     claims = claims.withColumn("psp", F.when(F.col("psp_preventable_yn") == "Y", F.col("psp_category")))
-    dims = ["prm_line", "psp"] if with_psp else ["prm_line"]
-    return attributed_sums(claims, cohort, BY_LINE_DATE, dims, {"util": "prm_util", "cases": "mr_cases_admits"})
+    return attributed_sums(
+        claims,
+        cohort,
+        BY_LINE_DATE,
+        ["prm_line", *dims_of(measures)],
+        {"util": "prm_util", "cases": "mr_cases_admits"},
+    )
 
 
 def risk_adjusted_usage(
-    tables: ClaimTables, cohort: Cohort, summary: DataFrame, measures: list[Measure]
+    tables: ClaimTables, cohort: Cohort, rows: DataFrame, measures: list[Measure]
 ) -> DataFrame:
     """Usage with a risk band and its adjusted value; usage without a band is missing from both."""
-    usage = evaluate(summary, measures, by=("btnumber",)).withColumnRenamed("metric_value", "util")
     risk = average_risk(cohort.covered_months, digits=3, null_as_zero=True)
-    banded = adjust_strict(usage, risk, band_table(tables.ref_hcg_bt), "utilfactor", "util")
+    banded = adjust_strict(rows, risk, band_table(tables.ref_hcg_bt), "utilfactor", "metric_value")
+    mine = ids_of(measures)
     return evaluate(
         banded,
-        [
-            Measure("", "util", id_from="metric_id"),
-            Measure("", "adjusted", id_from="concat(metric_id, '_riskadj')"),
-        ],
+        [again(mine), Measure("", "adjusted", mine, id_from="concat(metric_id, '_riskadj')")],
     )

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
-from cohortlens.functions.numbers import is_yes
+from cohortlens.functions.numbers import exact_sum, is_yes
 from cohortlens.operators.attribution import BY_CASE_DATE, attributed_sums
 from cohortlens.operators.cohort import Cohort
-from cohortlens.operators.measures import Measure, dims_of, evaluate, metric_rows, stack
+from cohortlens.operators.measures import Measure, dims_of, evaluate, ids_of, metric_rows, stack, usage_of
 from cohortlens.operators.risk import adjust_strict, average_risk, band_table, with_benefit_type
 from cohortlens.sources.tables import ClaimTables
 
-ADMITS = Measure("SNF", "admits")
+ADMITS = [Measure("SNF", "admits")]
 ADJUSTED_ID = "SNF_rskadj"
 LONG_STAYS = [Measure("number_SNF_over_21_days", "admits", "over_21_days", ("over_21_days",))]
 ALL_CAUSE_READMITS = [Measure("number_SNF_readmits", "admits", "readmit_all_cause", ("readmit_all_cause",))]
@@ -21,24 +21,25 @@ FLAGGED_READMITS = [
     Measure("SNF_Readmits", "admits", "readmit_numer", ("readmit_numer",)),
     Measure("SNF_Readmits_denom", "admits", "readmit_denom", ("readmit_denom",)),
 ]
-COUNTS = [*LONG_STAYS, *ALL_CAUSE_READMITS, *FLAGGED_READMITS]
+# Marks the facilities seen; they are counted, not added up.
+FACILITIES = [Measure("distinct_SNFs", "1")]
+MEASURES = [*ADMITS, *LONG_STAYS, *ALL_CAUSE_READMITS, *FACILITIES, *FLAGGED_READMITS]
 
 
-def snf_metrics(tables: ClaimTables, cohort: Cohort, consolidate: bool = False) -> DataFrame:
-    summary = stay_summary(tables, cohort, ["providerid", *dims_of(COUNTS)])
-    typed = with_benefit_type(summary, tables.ref_link_hcg_researcher_line)
-    return stack(
-        [
-            snf_admits(typed, consolidate),
-            snf_adjusted_admits(tables, cohort, typed, consolidate),
-            evaluate(typed, COUNTS),
-            distinct_facilities(typed),
-        ]
-    )
+def snf_metrics(
+    tables: ClaimTables, cohort: Cohort, consolidate: bool = False, measures: list[Measure] | None = None
+) -> DataFrame:
+    """All skilled-nursing measures, or the ones given, from one pass over the stays."""
+    measures = measures or MEASURES
+    rows = facility_rows(tables, cohort, measures)
+    parts = [unadjusted(rows, consolidate)]
+    if measures is MEASURES:
+        parts.append(adjusted_admits(tables, cohort, rows, consolidate))
+    return stack(parts)
 
 
-def stay_summary(tables: ClaimTables, cohort: Cohort, dims: list[str]) -> DataFrame:
-    """Attributed stays per status, service line and dimension."""
+def facility_rows(tables: ClaimTables, cohort: Cohort, measures: list[Measure]) -> DataFrame:
+    """The measures per status, benefit type and facility."""
     claims = tables.outclaims.where(F.col("prm_line").startswith(SNF_LINE)).withColumns(
         {
             "over_21_days": F.coalesce(F.col("prm_util") > 21, F.lit(False)),
@@ -47,26 +48,32 @@ def stay_summary(tables: ClaimTables, cohort: Cohort, dims: list[str]) -> DataFr
             "readmit_denom": is_yes("snfrm_denom_yn"),
         }
     )
-    return attributed_sums(claims, cohort, BY_CASE_DATE, ["prm_line", *dims], {"admits": "prm_admits"})
+    dims = ["prm_line", "providerid", *dims_of(measures)]
+    summary = attributed_sums(claims, cohort, BY_CASE_DATE, dims, {"admits": "prm_admits"})
+    typed = with_benefit_type(summary, tables.ref_link_hcg_researcher_line)
+    return evaluate(typed, measures, by=("btnumber", "providerid"))
 
 
-def snf_admits(typed: DataFrame, consolidate: bool = False) -> DataFrame:
-    """Admissions per status: one row for each benefit type unless consolidated."""
-    return evaluate(typed, [ADMITS], by=() if consolidate else ("btnumber",))
+def unadjusted(rows: DataFrame, consolidate: bool = False) -> DataFrame:
+    """Admissions keep one row per benefit type unless consolidated; everything else is per status."""
+    kept_apart = "false" if consolidate else ids_of(ADMITS)
+    counted = ids_of(FACILITIES)
+    return (
+        rows.withColumn("kept_type", F.expr(f"if({kept_apart}, btnumber, NULL)"))
+        .groupBy("elig_status", "metric_id", "kept_type")
+        .agg(
+            exact_sum("metric_value").alias("summed"),
+            F.expr(f"count(DISTINCT if({counted}, providerid, NULL))").alias("facilities"),
+        )
+        .select("elig_status", "metric_id", F.expr(f"if({counted}, CAST(facilities AS double), summed) AS metric_value"))
+    )
 
 
-def snf_adjusted_admits(
-    tables: ClaimTables, cohort: Cohort, typed: DataFrame, consolidate: bool = False
-) -> DataFrame:
+def adjusted_admits(tables: ClaimTables, cohort: Cohort, rows: DataFrame, consolidate: bool = False) -> DataFrame:
     """Risk-adjusted admissions, for benefit types that have a band."""
-    usage = evaluate(typed, [ADMITS], by=("btnumber",))
+    usage = usage_of(rows, ADMITS, "admits")
     risk = average_risk(cohort.covered_months, digits=3)
-    adjusted = adjust_strict(usage, risk, band_table(tables.ref_hcg_bt), "admitfactor", "metric_value")
+    adjusted = adjust_strict(usage, risk, band_table(tables.ref_hcg_bt), "admitfactor", "admits")
     if consolidate:
         return evaluate(adjusted, [Measure(ADJUSTED_ID, "adjusted")])
     return metric_rows(adjusted, ADJUSTED_ID, "adjusted")
-
-
-def distinct_facilities(summary: DataFrame) -> DataFrame:
-    counted = summary.groupBy("elig_status").agg(F.count_distinct("providerid").alias("facilities"))
-    return metric_rows(counted, "distinct_SNFs", "facilities")

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import UNLISTED_THRESHOLD_SUMMARY
 from cohortlens.functions.dates import ReportingPeriod, month_of
-from cohortlens.functions.numbers import exact_sum
+from cohortlens.functions.numbers import exact_sum, exact_sum_sql
 from cohortlens.operators.cohort import Cohort
 from cohortlens.operators.cost import cutoffs_met, met_cutoff, truncated
 from cohortlens.sources.tables import ClaimTables
 
 DATE_BASES = ("prm_fromdate", "prm_todate")
 ADD_ONS = ("ime", "dsh", "ucc")
-# The uncut columns, then one set per cut-off, in ascending order of the cut-off.
-SUFFIXES = ("", "_14", "_21", "_3mos", "_3mos_7")
+# Paid-date cut-offs in ascending order; the columns without a suffix are not cut.
+CUTOFFS = ("_14", "_21", "_3mos", "_3mos_7")
+SUFFIXES = ("", *CUTOFFS)
+COST_COLUMNS = [f"costs{s}" for s in SUFFIXES] + [f"{a}_costs{s}" for s in SUFFIXES for a in ADD_ONS]
 
 
 def runout_cutoffs(period: ReportingPeriod) -> dict[str, Column]:
@@ -30,39 +32,31 @@ def runout_cutoffs(period: ReportingPeriod) -> dict[str, Column]:
 def truncation_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     """Costs, add-ons, net costs and truncated net costs per status and date basis."""
     members = member_costs(tables, cohort)
-    limited = members.select(
+    limited = members.selectExpr(
         "elig_status",
         "date_flag",
         "memmos",
-        *_cost_columns(),
+        *COST_COLUMNS,
         *[
             column
             for s in SUFFIXES
             for column in (
-                _net(s).alias(f"costs{s}_reduced"),
-                truncated(_net(s), UNLISTED_THRESHOLD_SUMMARY).alias(f"costs{s}_truncated"),
+                f"{_net(s)} AS costs{s}_reduced",
+                f"{truncated(_net(s), UNLISTED_THRESHOLD_SUMMARY)} AS costs{s}_truncated",
             )
         ],
     )
     inexact = {"memmos", *(f"costs{s}_truncated" for s in SUFFIXES)}
-    return limited.groupBy("elig_status", "date_flag").agg(
-        *[
-            (exact_sum(F.col(c)) if c in inexact else F.sum(c).cast("double")).alias(c)
-            for c in limited.columns
-            if c not in ("elig_status", "date_flag")
-        ]
-    )
-
+    sums = [
+        f"{exact_sum_sql(c) if c in inexact else f'CAST(sum({c}) AS double)'} AS {c}"
+        for c in limited.columns
+        if c not in ("elig_status", "date_flag")
+    ]
+    return limited.groupBy("elig_status", "date_flag").agg(*map(F.expr, sums))
 
-def _cost_columns() -> list[str]:
-    return [f"costs{s}" for s in SUFFIXES] + [f"{a}_costs{s}" for s in SUFFIXES for a in ADD_ONS]
 
-
-def _net(suffix: str) -> Column:
-    net = F.col(f"costs{suffix}")
-    for add_on in ADD_ONS:
-        net = net - F.col(f"{add_on}_costs{suffix}")
-    return net
+def _net(suffix: str) -> str:
+    return f"(costs{suffix}" + "".join(f" - {add_on}_costs{suffix}" for add_on in ADD_ONS) + ")"
 
 
 def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
@@ -72,26 +66,19 @@ def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     added up with them, which needs one shuffle where outer joins would need one per side.
     """
     amounts = claim_amounts(tables, cohort)
-    cutoffs = runout_cutoffs(cohort.report_period)
 
-    def by_cutoff(value: str, suffix: str) -> Column:
-        if not suffix:
-            return F.sum(value)
-        return F.sum(F.when(met_cutoff("met", cutoffs, suffix), F.col(value)).otherwise(0))
+    def by_cutoff(value: str, suffix: str) -> str:
+        return f"if({met_cutoff('met', CUTOFFS, suffix)}, {value}, 0)" if suffix else value
 
-    costs = amounts.groupBy("member_id", "elig_status", "date_flag").agg(
-        *[by_cutoff("costs", s).alias(f"costs{s}") for s in SUFFIXES],
-        *[by_cutoff(a, s).alias(f"{a}_costs{s}") for s in SUFFIXES for a in ADD_ONS],
-    )
-    bases = F.explode(F.array(*[F.lit(b) for b in DATE_BASES]))
+    sums = [f"sum({by_cutoff('costs', s)}) AS costs{s}" for s in SUFFIXES]
+    sums += [f"sum({by_cutoff(a, s)}) AS {a}_costs{s}" for s in SUFFIXES for a in ADD_ONS]
+    costs = amounts.groupBy("member_id", "elig_status", "date_flag").agg(*map(F.expr, sums))
+    bases = F.explode(F.array(*map(F.lit, DATE_BASES)))
     months = cohort.covered_months.select("member_id", "elig_status", "memmos", bases.alias("date_flag"))
     return (
         costs.unionByName(months, allowMissingColumns=True)
         .groupBy("member_id", "elig_status", "date_flag")
-        .agg(
-            exact_sum(F.col("memmos")).alias("memmos"),
-            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _cost_columns()],
-        )
+        .agg(exact_sum("memmos").alias("memmos"), *[F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in COST_COLUMNS])
     )
 
 
