@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
 from cohortlens.functions.dates import month_of
-from cohortlens.operators.cohort import Cohort, coverage_calendar
+from cohortlens.operators.cohort import Cohort
 
 
 def _stay_start() -> Column:
@@ -50,7 +50,7 @@ BY_STAY_MONTH = AttributionPolicy("stay", "line")
 
 def in_cohort_months(claims: DataFrame, cohort: Cohort, policy: AttributionPolicy) -> DataFrame:
     """Drop lines that cannot fall in a cohort month; written on raw columns so that it reaches the scan."""
-    first, last = cohort.first_month, F.last_day(cohort.last_month)
+    first, last = cohort.first_day, cohort.last_day
     line, case = (F.col(c).between(first, last) for c in ("prm_fromdate", "prm_fromdate_case"))
     return claims.where({"line": line, "case": case, "stay": line | case}[policy.month_by])
 
@@ -62,7 +62,7 @@ def attribute(lines: DataFrame, cohort: Cohort, policy: AttributionPolicy) -> Da
     overlap without being equal give one row each.
     """
     if policy.single_date:
-        calendar = coverage_calendar(cohort).withColumnsRenamed({"member_id": "_member", "elig_month": "_month"})
+        calendar = cohort.calendar.withColumnsRenamed({"member_id": "_member", "elig_month": "_month"})
         matched = lines.join(
             calendar,
             (F.col("member_id") == F.col("_member"))

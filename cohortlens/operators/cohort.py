@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.config import Assignment, ReportConfig
@@ -26,18 +27,22 @@ class Cohort:
     member_months: DataFrame
     windows: DataFrame
 
-    @property
+    @cached_property
     def covered_months(self) -> DataFrame:
         return self.member_months.where(F.col("cover_medical") == "Y")
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return coverage_calendar(self)
+
     @property
-    def first_month(self):
-        """The earliest month that can be in the cohort."""
+    def first_day(self) -> Column:
+        """The first day of the earliest month that can be in the cohort."""
         return month_of(F.lit(self.period.start))
 
     @property
-    def last_month(self):
-        return month_of(F.lit(self.period.end))
+    def last_day(self) -> Column:
+        return F.last_day(F.lit(self.period.end))
 
     def with_member_months(self, member_months: DataFrame) -> Cohort:
         return replace(self, member_months=member_months)
@@ -118,8 +123,8 @@ def coverage_calendar(cohort: Cohort) -> DataFrame:
     month and coverage date are the same date. Windows are clipped to the period before they are cut, so an
     open-ended window costs no more rows than the period has months.
     """
-    starts = F.greatest(F.col("date_start"), cohort.first_month)
-    ends = F.least(F.col("date_end"), F.last_day(cohort.last_month))
+    starts = F.greatest(F.col("date_start"), cohort.first_day)
+    ends = F.least(F.col("date_end"), cohort.last_day)
     by_month = (
         cohort.windows.where(starts <= ends)
         .withColumn("elig_month", F.explode(F.sequence(month_of(starts), month_of(ends), F.expr("INTERVAL 1 MONTH"))))

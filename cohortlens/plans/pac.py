@@ -43,17 +43,14 @@ def pac_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | N
 
 
 def pac_drg_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+    return drg_counts(index_summary(tables, cohort))
+
+
+def drg_counts(summary: DataFrame) -> DataFrame:
     """Index admissions per status and DRG: all of them, and those followed by each kind of use or by death."""
-    return (
-        index_summary(tables, cohort)
-        .groupBy("elig_status", "prm_drg")
-        .agg(
-            F.sum("admits").alias("pac_count"),
-            *[
-                F.sum(F.when(F.col(flag) == "Y", F.col("admits")).otherwise(0)).alias(name)
-                for name, flag in DRG_COUNTS.items()
-            ],
-        )
+    followed = [f"sum(if({flag} = 'Y', admits, 0)) AS {name}" for name, flag in DRG_COUNTS.items()]
+    return summary.groupBy("elig_status", "prm_drg").agg(
+        F.sum("admits").alias("pac_count"), *map(F.expr, followed)
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import ReportConfig
 from cohortlens.operators.cohort import Cohort, build_cohort
-from cohortlens.operators.measures import stack
+from cohortlens.operators.measures import evaluate, stack
 from cohortlens.operators.rollup import label_metrics, labelled, non_esrd_rollup
 from cohortlens.plans.basic import basic_metrics
 from cohortlens.plans.betos import betos_summary
@@ -19,7 +19,8 @@ from cohortlens.plans.er import er_metrics
 from cohortlens.plans.inpatient import inpatient_metrics
 from cohortlens.plans.lines import line_metrics
 from cohortlens.plans.outpatient import outpatient_metrics
-from cohortlens.plans.pac import pac_drg_summary, pac_metrics
+from cohortlens.plans.pac import MEASURES as PAC_MEASURES
+from cohortlens.plans.pac import drg_counts, index_summary
 from cohortlens.plans.snf import snf_metrics
 from cohortlens.plans.truncation import truncation_summary
 from cohortlens.sources.sinks import export_text, save_table
@@ -30,6 +31,25 @@ from cohortlens.sources.tables import ClaimTables
 NON_ADDITIVE = ("riskscr_1_avg", "distinct_SNFs", "cnt_assigned_mems")
 
 
+FAMILY_NAMES = (
+    "basic_metrics",
+    "inpatient_metrics",
+    "outpatient_metrics",
+    "snf_metrics",
+    "er_metrics",
+    "pac_metrics",
+    "mr_line_metrics",
+    "eol_metrics",
+)
+# File names of the report's parts.
+PART_FILES = {
+    "metrics": "metrics",
+    "pac_drg_summary": "pac_drg_summary",
+    "betos": "betos_summary",
+    "truncation": "truncation_summary",
+}
+
+
 @dataclass(frozen=True)
 class Report:
     """The four result frames, labelled with client and period."""
@@ -40,15 +60,17 @@ class Report:
     truncation: DataFrame
 
 
-def metric_families(tables: ClaimTables, cohort: Cohort, config: ReportConfig) -> dict[str, DataFrame]:
-    """The long metric frames by family, end-of-life last: it brings its own Non-ESRD rows."""
+def metric_families(
+    tables: ClaimTables, cohort: Cohort, config: ReportConfig, pac_index: DataFrame
+) -> dict[str, DataFrame]:
+    """The long metric frames by family; end-of-life brings its own Non-ESRD rows."""
     return {
         "basic_metrics": basic_metrics(tables, cohort),
         "inpatient_metrics": inpatient_metrics(tables, cohort),
         "outpatient_metrics": outpatient_metrics(tables, cohort),
         "snf_metrics": snf_metrics(tables, cohort, config.consolidate_usage),
         "er_metrics": er_metrics(tables, cohort, config.consolidate_usage),
-        "pac_metrics": pac_metrics(tables, cohort),
+        "pac_metrics": evaluate(pac_index, PAC_MEASURES),
         "mr_line_metrics": line_metrics(tables, cohort),
         "eol_metrics": eol_metrics(tables, cohort),
     }
@@ -60,69 +82,53 @@ def staged_cohort(tables: ClaimTables, config: ReportConfig, folder: str) -> Coh
     return cohort.with_member_months(stage(cohort.member_months, folder, "member_months"))
 
 
-def stacked_metrics(families: dict[str, DataFrame], config: ReportConfig) -> DataFrame:
+def staged_families(
+    tables: ClaimTables, cohort: Cohort, config: ReportConfig, pac_index: DataFrame, folder: str
+) -> DataFrame:
+    """All families in one frame with a ``family`` column, computed by one job.
+
+    Within a job Spark runs the families' stages side by side and reuses what they have in common, above all
+    the coverage calendar.
+    """
+    families = metric_families(tables, cohort, config, pac_index)
+    named = [stack([frame]).select(F.lit(name).alias("family"), "*") for name, frame in families.items()]
+    return stage(reduce(DataFrame.unionByName, named), folder, "family_metrics")
+
+
+def stacked_metrics(families: DataFrame, config: ReportConfig) -> DataFrame:
     """All families, with the Non-ESRD roll-up of every one but end-of-life."""
-    rolled = stack(frame for name, frame in families.items() if name != "eol_metrics")
+    rolled = families.where(F.col("family") != "eol_metrics")
     left_out = NON_ADDITIVE if config.additive_rollup_only else ()
-    return stack([rolled, non_esrd_rollup(rolled, left_out), families["eol_metrics"]])
+    return stack([families, non_esrd_rollup(rolled, left_out)])
 
 
 def build_report(tables: ClaimTables, config: ReportConfig, folder: str | None = None) -> Report:
-    """Compute the report. Member months and family results are staged below the checkpoint folder."""
+    """Compute the report. What its parts share is staged in ``folder``, or else below the checkpoint folder."""
     folder = folder or staging_folder(tables.outclaims.sparkSession)
     cohort = staged_cohort(tables, config, folder)
-    families = {
-        name: stage(frame, folder, name) for name, frame in metric_families(tables, cohort, config).items()
-    }
+    pac_index = stage(index_summary(tables, cohort), folder, "pac_index")
+    families = staged_families(tables, cohort, config, pac_index, folder)
     label = cohort.report_period.label
     return Report(
         metrics=label_metrics(stacked_metrics(families, config), config.client, label),
-        pac_drg_summary=labelled(pac_drg_summary(tables, cohort), config.client, label),
+        pac_drg_summary=labelled(drg_counts(pac_index), config.client, label),
         betos=labelled(betos_summary(tables, cohort), config.client, label),
         truncation=labelled(truncation_summary(tables, cohort), config.client, label),
     )
 
 
 def write_report(tables: ClaimTables, config: ReportConfig, path: str) -> Report:
-    """Write member months, family metrics and summaries as parquet, and the four reports as delimited text."""
-    cohort = staged_cohort(tables, config, path)
-    for name, frame in metric_families(tables, cohort, config).items():
-        save_table(frame, f"{path}/{name}.parquet")
-    save_table(pac_drg_summary(tables, cohort), f"{path}/pac_drg_summary.parquet")
-    save_table(betos_summary(tables, cohort), f"{path}/betos.parquet")
-    save_table(truncation_summary(tables, cohort), f"{path}/truncation.parquet")
-
-    report = read_report(tables, config, path)
-    save_table(report.metrics, f"{path}/metrics.parquet")
-    export_text(report.metrics, f"{path}/metrics.txt")
-    export_text(report.pac_drg_summary, f"{path}/pac_drg_summary.txt")
-    export_text(report.betos, f"{path}/betos_summary.txt")
-    export_text(report.truncation, f"{path}/truncation_summary.txt")
-    return report
-
-
-FAMILY_FILES = (
-    "basic_metrics",
-    "inpatient_metrics",
-    "outpatient_metrics",
-    "snf_metrics",
-    "er_metrics",
-    "pac_metrics",
-    "mr_line_metrics",
-    "eol_metrics",
-)
-
-
-def read_report(tables: ClaimTables, config: ReportConfig, path: str) -> Report:
-    """Assemble the labelled report from result files; each is read by name, so older reports are not picked up."""
-    spark = tables.outclaims.sparkSession
-    label = build_cohort(tables, config).report_period.label
-    families = {name: spark.read.parquet(f"{path}/{name}.parquet") for name in FAMILY_FILES}
-    summaries = {
-        name: labelled(spark.read.parquet(f"{path}/{name}.parquet"), config.client, label)
-        for name in ("pac_drg_summary", "betos", "truncation")
-    }
-    return Report(metrics=label_metrics(stacked_metrics(families, config), config.client, label), **summaries)
+    """Write the report's tables as parquet and its four parts as delimited text, and read the tables back."""
+    computed = build_report(tables, config, path)
+    families = tables.outclaims.sparkSession.read.parquet(f"{path}/family_metrics.parquet")
+    for name in FAMILY_NAMES:
+        save_table(families.where(F.col("family") == name).drop("family"), f"{path}/{name}.parquet", max_files=10)
+
+    written = {}
+    for part, file_name in PART_FILES.items():
+        written[part] = stage(getattr(computed, part), path, file_name)
+        export_text(written[part], f"{path}/{file_name}.txt")
+    return Report(**written)
 
 
 def run_scenarios(tables: ClaimTables, scenarios: dict[str, ReportConfig]) -> Report:
