@@ -1,0 +1,111 @@
+from datetime import date
+
+from cohortlens.plans.basic import costs
+from cohortlens.plans.betos import betos_summary
+from cohortlens.plans.truncation import truncation_summary
+from helpers import claim, claim_tables, cohort_of, member, metric_list, window
+
+JAN_5 = date(2020, 1, 5)
+LIMIT = 236991 / 12
+
+
+def one_month(spark, outclaims, statuses=("Aged Dual",)):
+    end = date(2020, 1, 31)
+    return claim_tables(
+        spark,
+        members=[member(i + 1) for i in range(len(statuses))],
+        member_time_windows=[
+            window(i + 1, date(2020, 1, 1), end, elig_status_1=status) for i, status in enumerate(statuses)
+        ],
+        outclaims=outclaims,
+    )
+
+
+def test_member_costs_are_cut_at_the_prorated_limit_of_their_status(spark):
+    tables = one_month(
+        spark,
+        [claim(1, JAN_5, prm_costs=60000), claim(2, JAN_5, prm_costs=100), claim(3, JAN_5, prm_costs=999999999)],
+        ["Aged Dual", "Aged Dual", "Other"],
+    )
+    rows = metric_list(costs(tables, cohort_of(tables)))
+    assert rows == [
+        ("Aged Dual", "prm_costs_sum_all_services", 60100.0),
+        ("Aged Dual", "prm_costs_truncated", LIMIT + 100),
+        ("Other", "prm_costs_sum_all_services", 999999999.0),
+        ("Other", "prm_costs_truncated", 99999999.0),
+    ]
+
+
+def test_no_cost_rows_without_claims(spark):
+    tables = one_month(spark, [])
+    assert metric_list(costs(tables, cohort_of(tables))) == []
+
+
+def test_members_without_claims_are_in_the_truncation_summary(spark):
+    tables = one_month(spark, [])
+    rows = truncation_summary(tables, cohort_of(tables)).orderBy("date_flag").collect()
+    assert [(r["date_flag"], r["memmos"], r["costs"], r["costs_truncated"]) for r in rows] == [
+        ("prm_fromdate", 1.0, 0.0, 0.0),
+        ("prm_todate", 1.0, 0.0, 0.0),
+    ]
+    assert len(rows[0]) == 33
+
+
+def test_add_ons_count_once_per_claim_and_once_per_side_of_a_cutoff(spark):
+    add_ons = {
+        "prm_capital_ime_amount": 3,
+        "prm_operational_ime_amount": 4,
+        "prm_capital_ds_amount": 1,
+        "prm_operational_ds_amount": 1,
+        "prm_hipps_dsh_amount": 5,
+    }
+    early, late = date(2020, 2, 1), date(2021, 1, 10)
+    tables = one_month(
+        spark,
+        [
+            claim(1, JAN_5, claimid=1, paiddate=early, **add_ons),
+            claim(1, JAN_5, claimid=1, paiddate=early, **add_ons),
+            # Paid later, but still within every cut-off: the same set as the first two.
+            claim(1, JAN_5, claimid=1, paiddate=late, **add_ons),
+            # Paid between the 14 and the 21 day cut-off, so a set of its own.
+            claim(1, JAN_5, claimid=1, paiddate=date(2021, 1, 20), **add_ons),
+            # Another claim; negative costs turn the signs round.
+            claim(1, JAN_5, claimid=2, paiddate=early, **{**add_ons, "prm_costs": -10}),
+            # Never paid: costs count in the uncut columns only.
+            claim(1, JAN_5, claimid=3, paiddate=None),
+        ],
+    )
+    row = truncation_summary(tables, cohort_of(tables)).where("date_flag = 'prm_fromdate'").first()
+    assert (row["costs"], row["costs_14"], row["costs_21"]) == (40.0, 20.0, 30.0)
+    assert (row["ime_costs"], row["ime_costs_14"], row["ime_costs_21"]) == (7.0, 0.0, 7.0)
+    assert (row["dsh_costs"], row["ucc_costs"]) == (2.0, 5.0)
+    assert (row["costs_reduced"], row["costs_14_reduced"]) == (40.0 - 14.0, 20.0)
+    assert row["costs_truncated"] == 26.0
+
+
+def test_cutoffs_only_let_costs_grow_and_limits_only_cut_them(spark):
+    tables = one_month(
+        spark,
+        [claim(1, JAN_5, prm_costs=9000, paiddate=date(2020 + m // 12, m % 12 + 1, 15), claimid=m) for m in range(18)],
+    )
+    for row in truncation_summary(tables, cohort_of(tables)).collect():
+        by_cutoff = [row[c] for c in ("costs_14", "costs_21", "costs_3mos", "costs_3mos_7", "costs")]
+        assert by_cutoff == sorted(by_cutoff)
+        for suffix in ("", "_14", "_21", "_3mos", "_3mos_7"):
+            assert row[f"costs{suffix}_truncated"] <= row[f"costs{suffix}_reduced"]
+
+
+def test_betos_dates_claims_by_their_end_when_they_start_before_the_period(spark):
+    tables = one_month(
+        spark,
+        [
+            claim(1, date(2019, 12, 30), prm_todate=JAN_5, prm_betos_code="b", paiddate=date(2021, 1, 7)),
+            claim(1, JAN_5, prm_todate=date(2021, 3, 1), prm_betos_code="b", paiddate=date(2021, 1, 8)),
+            claim(1, date(2019, 12, 30), prm_betos_code="b"),
+        ],
+    )
+    rows = betos_summary(tables, cohort_of(tables)).orderBy("fromdate_elig_yn").collect()
+    assert [tuple(r[c] for c in r.asDict() if c.endswith("_yn")) + (r["costs"],) for r in rows] == [
+        ("Y", "Y", "N", "Y", 10.0),
+        ("N", "Y", "Y", "N", 10.0),
+    ]

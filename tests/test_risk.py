@@ -1,0 +1,90 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlens.operators.risk import adjust_lenient, adjust_strict, average_risk, band_table, with_benefit_type
+from helpers import BANDS, frame
+
+USAGE = "elig_status string, btnumber int, n bigint"
+
+
+def bands(spark, rows=None):
+    rows = rows or [(1, band, 2.0) for band in BANDS]
+    return band_table(
+        frame(
+            spark,
+            "ref_hcg_bt",
+            [
+                {"lob": "Medicare", "basis": "RS", "btnumber": bt, "riskband": band, "admitfactor": f, "utilfactor": f}
+                for bt, band, f in rows
+            ]
+            + [
+                {"lob": "Commercial", "basis": "RS", "btnumber": 1, "riskband": "<0.50", "admitfactor": 9},
+                {"lob": "Medicare", "basis": "AG", "btnumber": 1, "riskband": "<0.50", "admitfactor": 9},
+            ],
+        )
+    )
+
+
+def risk(spark, *scores):
+    return spark.createDataFrame([(f"s{i}", s) for i, s in enumerate(scores)], "elig_status string, risk_score_avg double")
+
+
+def test_bands_are_closed_to_three_digits_and_end_at_500(spark):
+    edges = {
+        0.0: "<0.50", 0.499: "<0.50", 0.5: "0.50-0.59", 0.599: "0.50-0.59", 0.6: "0.60-0.69", 0.75: "0.70-0.79",
+        0.899: "0.80-0.89", 0.9: "0.90-0.99", 1.099: "1.00-1.09", 1.1: "1.10-1.19", 1.2: "1.20-1.34",
+        1.349: "1.20-1.34", 1.35: "1.35-1.49", 1.749: "1.50-1.74", 1.999: "1.75-2.00", 2.0: ">2.00", 500.0: ">2.00",
+    }
+    numbered = bands(spark, [(1, band, float(i + 1)) for i, band in enumerate(BANDS)])
+    scores = [*edges, 500.1, -1.1, 0.4995]
+    usage = spark.createDataFrame([(f"s{i}", 1, 1) for i in range(len(scores))], USAGE)
+    rows = adjust_strict(usage, risk(spark, *scores), numbered, "utilfactor", "n").collect()
+    assert {r["risk_score_avg"]: BANDS[int(r["utilfactor"]) - 1] for r in rows} == edges
+    assert len(rows) == len(edges)
+
+
+def test_strict_loses_usage_without_a_band_and_lenient_keeps_it_at_factor_one(spark):
+    usage = spark.createDataFrame([("s0", 1, 6), ("s0", 7, 5), ("s0", None, 4), ("s1", 1, 3), ("s2", 1, 2)], USAGE)
+    scores = risk(spark, 0.3, None)
+    strict = adjust_strict(usage, scores, bands(spark), "admitfactor", "n").collect()
+    assert [(r["n"], r["adjusted"]) for r in strict] == [(6, 3.0)]
+    lenient = adjust_lenient(usage, scores, bands(spark), "admitfactor", "n").collect()
+    assert sorted((r["n"], r["adjusted"]) for r in lenient) == [(4, 4.0), (5, 5.0), (6, 3.0)]
+
+
+def test_null_factors_are_kept_once_per_band_by_lenient(spark):
+    usage = spark.createDataFrame([("s0", 2, 6)], USAGE)
+    null_factors = bands(spark, [(2, band, None) for band in BANDS])
+    lenient = adjust_lenient(usage, risk(spark, 0.3), null_factors, "admitfactor", "n").collect()
+    assert [r["adjusted"] for r in lenient] == [6.0] * 13
+    strict = adjust_strict(usage, risk(spark, 0.3), null_factors, "admitfactor", "n").collect()
+    assert [r["adjusted"] for r in strict] == [None]
+
+
+@pytest.mark.parametrize(("score", "digits", "expected"), [(0.0625, 3, 0.062), (0.1875, 3, 0.188), (1.125, 2, 1.12)])
+def test_average_risk_rounds_half_to_even(spark, score, digits, expected):
+    months = spark.createDataFrame([("A", 1.0, score)], "elig_status string, memmos double, risk_score double")
+    assert average_risk(months, digits).first()["risk_score_avg"] == expected
+
+
+def test_months_without_a_score_weigh_in_and_empty_weights_give_no_mean(spark):
+    months = spark.createDataFrame(
+        [("A", 1.0, 1.0), ("A", 1.0, None), ("B", 0.0, 1.0), ("C", 1.0, None)],
+        "elig_status string, memmos double, risk_score double",
+    )
+    means = {r["elig_status"]: r["risk_score_avg"] for r in average_risk(months, 3).collect()}
+    assert means == {"A": 0.5, "B": None, "C": None}
+    filled = {r["elig_status"]: r["risk_score_avg"] for r in average_risk(months, 3, null_as_zero=True).collect()}
+    assert filled == {"A": 0.5, "B": 0.0, "C": 0.0}
+
+
+def test_a_line_listed_twice_counts_twice(spark):
+    summary = spark.createDataFrame([("x", 1), ("y", 2)], "prm_line string, n int")
+    link = frame(
+        spark,
+        "ref_link_hcg_researcher_line",
+        [{"lob": "Medicare", "researcherline": "x", "btnumber": b} for b in (1, 2)]
+        + [{"lob": "Commercial", "researcherline": "y", "btnumber": 3}],
+    )
+    rows = with_benefit_type(summary, link).orderBy("prm_line", F.col("btnumber")).collect()
+    assert [(r["prm_line"], r["btnumber"]) for r in rows] == [("x", 1), ("x", 2), ("y", None)]

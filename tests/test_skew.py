@@ -1,0 +1,71 @@
+"""One member holds a third of all claims: results stay whole, and the join sees few of that member's rows."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.compare import differences, duckdb_over
+from checks.fixtures import PLAIN, domain_tables
+from checks import oracle
+from checks.registry import CURRENT, FAMILY_PLANS
+from cohortlens import build_cohort
+from cohortlens.operators.attribution import BY_STAY_DATE, daily_sums
+from cohortlens.plans.truncation import truncation_summary
+
+SF_DIR = "/root/testdata/sf0.001"
+HOT_SQL = f"""
+    SELECT * FROM ({PLAIN['outclaims']}) c
+    UNION ALL
+    SELECT (SELECT min(member_id) FROM hot) AS member_id, c.* EXCLUDE (member_id)
+    FROM ({PLAIN['outclaims']}) c WHERE claimid % 2 = 0
+"""
+
+
+@pytest.fixture(scope="module")
+def hot_member(spark):
+    cohort = build_cohort(domain_tables(spark, SF_DIR), CURRENT)
+    return cohort.covered_months.agg(F.min("member_id")).first()[0]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, hot_member):
+    plain = domain_tables(spark, SF_DIR)
+    copies = plain.outclaims.where("claimid % 2 = 0").withColumn("member_id", F.lit(hot_member).cast("bigint"))
+    return replace(plain, outclaims=plain.outclaims.unionByName(copies))
+
+
+def hot_ctes(hot_member):
+    return {"hot": f"SELECT CAST({hot_member} AS BIGINT) AS member_id", "outclaims": HOT_SQL}
+
+
+@pytest.mark.parametrize("family", FAMILY_PLANS)
+def test_families_with_a_hot_member(spark, tables, hot_member, family):
+    share = tables.outclaims.where(F.col("member_id") == hot_member).count() / tables.outclaims.count()
+    assert share > 0.3
+    actual = FAMILY_PLANS[family](tables, build_cohort(tables, CURRENT)).toPandas()
+    # The hot member has to be known before the claims that name it.
+    ctes = {"hot": hot_ctes(hot_member)["hot"], **oracle.CTES, "outclaims": HOT_SQL}
+    expected = duckdb_over(SF_DIR).execute(oracle_text(oracle.family(family), ctes)).df()
+    assert differences(actual, expected) == ""
+
+
+def oracle_text(body, ctes):
+    return "WITH " + ", ".join(f"{name} AS ({text})" for name, text in ctes.items()) + body
+
+
+def test_truncation_with_a_hot_member(spark, tables, hot_member):
+    actual = truncation_summary(tables, build_cohort(tables, CURRENT)).toPandas()
+    ctes = {"hot": hot_ctes(hot_member)["hot"], **oracle.CTES, "outclaims": HOT_SQL}
+    expected = duckdb_over(SF_DIR).execute(oracle_text(oracle.TRUNCATION_SQL, ctes)).df()
+    assert differences(actual, expected) == ""
+
+
+def test_a_hot_member_meets_the_join_as_daily_rows(spark, tables, hot_member):
+    """However often a member's lines are repeated, the rows that are joined stay the same."""
+    cohort = build_cohort(tables, CURRENT)
+    once = daily_sums(tables.outclaims, cohort, BY_STAY_DATE, ["prm_line"], {"costs": "prm_costs"})
+    repeated = tables.outclaims.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    many = daily_sums(repeated, cohort, BY_STAY_DATE, ["prm_line"], {"costs": "prm_costs"})
+    mine = F.col("member_id") == hot_member
+    assert many.where(mine).count() == once.where(mine).count() > 0
