@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks import oracle
 from checks.fixtures import domain_tables
 from cohortlens.config import UNLISTED_THRESHOLD_BASIC, Assignment, ReportConfig
+from cohortlens.functions.numbers import from_ticks
 from cohortlens.operators import attribution, cohort as cohorts, cost, episodes, risk, rollup
 from cohortlens.operators.cohort import Cohort, build_cohort
 from cohortlens.plans import basic, betos, eol, er, inpatient, lines, outpatient, pac, report, snf, truncation
@@ -157,7 +158,7 @@ def claim_add_ons(tables: ClaimTables, cohort: Cohort) -> DataFrame:
         .groupBy("date_flag", "elig_status")
         .agg(
             F.count(F.lit(1)).alias("sets"),
-            *[F.sum(a).cast("double").alias(a) for a in truncation.ADD_ONS],
+            *[F.expr(f"{from_ticks(f'sum({a})')} AS {a}") for a in truncation.ADD_ONS],
         )
     )
 
@@ -165,7 +166,7 @@ def claim_add_ons(tables: ClaimTables, cohort: Cohort) -> DataFrame:
 def member_runout_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     keys = ["member_id", "elig_status", "date_flag", "memmos"]
     costs = truncation.member_costs(tables, cohort)
-    return costs.select(*keys, *[F.col(c).cast("double").alias(c) for c in costs.columns if c not in keys])
+    return costs.selectExpr(*keys, *[f"{from_ticks(c)} AS {c}" for c in truncation.COST_COLUMNS])
 
 
 def pac_index_lines(tables: ClaimTables, cohort: Cohort) -> DataFrame:

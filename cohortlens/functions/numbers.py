@@ -28,5 +28,18 @@ def weighted_mean(value: str, weight: str) -> Column:
     return F.expr(f"try_divide({exact_sum_sql(f'({value}) * ({weight})')}, {exact_sum_sql(weight)})")
 
 
+# Money has four decimals, so ten-thousandths are whole numbers. Sums of them are sums of longs: several times
+# faster than decimal sums where many are kept per row, and still exact. They reach to 9e14 and fail beyond.
+TICKS = 10000
+
+
+def to_ticks(money: str) -> str:
+    return f"CAST(({money}) * {TICKS} AS bigint)"
+
+
+def from_ticks(ticks: str) -> str:
+    return f"({ticks}) / {TICKS}D"
+
+
 def is_yes(flag: str) -> Column:
     return F.coalesce(F.col(flag) == "Y", F.lit(False))

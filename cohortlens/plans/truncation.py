@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import UNLISTED_THRESHOLD_SUMMARY
 from cohortlens.functions.dates import ReportingPeriod, month_of
-from cohortlens.functions.numbers import exact_sum, exact_sum_sql
+from cohortlens.functions.numbers import exact_sum, exact_sum_sql, from_ticks, to_ticks
 from cohortlens.operators.cohort import Cohort
 from cohortlens.operators.cost import cutoffs_met, met_cutoff, truncated
 from cohortlens.sources.tables import ClaimTables
 
 DATE_BASES = ("prm_fromdate", "prm_todate")
-ADD_ONS = ("ime", "dsh", "ucc")
+ADD_ONS = {
+    "ime": "prm_capital_ime_amount + prm_operational_ime_amount",
+    "dsh": "prm_capital_ds_amount + prm_operational_ds_amount",
+    "ucc": "prm_hipps_dsh_amount",
+}
 # Paid-date cut-offs in ascending order; the columns without a suffix are not cut.
 CUTOFFS = ("_14", "_21", "_3mos", "_3mos_7")
 SUFFIXES = ("", *CUTOFFS)
@@ -42,13 +46,13 @@ def truncation_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
             for s in SUFFIXES
             for column in (
                 f"{_net(s)} AS costs{s}_reduced",
-                f"{truncated(_net(s), UNLISTED_THRESHOLD_SUMMARY)} AS costs{s}_truncated",
+                f"{truncated(from_ticks(_net(s)), UNLISTED_THRESHOLD_SUMMARY)} AS costs{s}_truncated",
             )
         ],
     )
     inexact = {"memmos", *(f"costs{s}_truncated" for s in SUFFIXES)}
     sums = [
-        f"{exact_sum_sql(c) if c in inexact else f'CAST(sum({c}) AS double)'} AS {c}"
+        f"{exact_sum_sql(c) if c in inexact else from_ticks(f'sum({c})')} AS {c}"
         for c in limited.columns
         if c not in ("elig_status", "date_flag")
     ]
@@ -60,7 +64,7 @@ def _net(suffix: str) -> str:
 
 
 def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
-    """Covered months, costs and add-ons of every covered member, per status and date basis.
+    """Covered months, costs and add-ons (in ticks) of every covered member, per status and date basis.
 
     Members without claims in the period have costs of 0. Their months are stacked under the claim sums and
     added up with them, which needs one shuffle where outer joins would need one per side.
@@ -83,7 +87,7 @@ def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
 
 
 def claim_amounts(tables: ClaimTables, cohort: Cohort) -> DataFrame:
-    """Attributed cost with the add-ons of its claim, once per distinct set of add-ons and met cut-offs.
+    """Attributed cost with the add-ons of its claim, in ticks, once per distinct set of add-ons and met cut-offs.
 
     Add-ons are repeated on the lines of a claim and count once, cost is per line and counts every time: cost is
     summed within the group that makes the add-ons distinct. Lines paid on two sides of a cut-off stay apart.
@@ -97,23 +101,21 @@ def claim_amounts(tables: ClaimTables, cohort: Cohort) -> DataFrame:
             for b in DATE_BASES
         ]
     )
-    sign = F.when(F.col("prm_costs") < 0, -1).otherwise(1)
+    sign = "if(prm_costs < 0, -1, 1)"
     claims = (
         tables.outclaims.where(period.holds("prm_fromdate") | period.holds("prm_todate"))
         .select(
             "member_id",
             "claimid",
-            "prm_costs",
-            (sign * (F.col("prm_capital_ime_amount") + F.col("prm_operational_ime_amount"))).alias("ime"),
-            (sign * (F.col("prm_capital_ds_amount") + F.col("prm_operational_ds_amount"))).alias("dsh"),
-            (sign * F.col("prm_hipps_dsh_amount")).alias("ucc"),
+            F.expr(f"{to_ticks('prm_costs')} AS costs"),
+            *[F.expr(f"{sign} * {to_ticks(amount)} AS {name}") for name, amount in ADD_ONS.items()],
             cutoffs_met("paiddate", cutoffs).alias("met"),
             F.inline(F.filter(bases, lambda basis: basis["in_period"])),
         )
         .withColumn("elig_month", month_of("incurred"))
     )
     monthly = claims.groupBy("date_flag", "member_id", "elig_month", "claimid", *ADD_ONS, "met").agg(
-        F.sum("prm_costs").alias("costs")
+        F.sum("costs").alias("costs")
     )
     months = cohort.covered_months.select("member_id", "elig_month", "elig_status")
     return (
