@@ -54,8 +54,8 @@ def snf_readmit_cases(claims: DataFrame, cohort: Cohort) -> DataFrame:
     """Skilled-nursing cases lying between an inpatient stay and a readmission within 30 days of it.
 
     The stay begins in the 30 days up to the readmission; the index admission ends in those same days, but not
-    after the stay began. A case qualifies by existence, so no chain is written out: the reach of index ends
-    from a start date is a per-day fact, and so is that of readmissions, and a stay only meets those days.
+    after the stay began. A case qualifies by existence, so the nearest admission on each side decides, and no
+    chains are written out.
     """
     admissions = (
         claims.where(F.col("prm_line_agg") == INPATIENT_GROUP)
@@ -92,16 +92,22 @@ def snf_readmit_cases(claims: DataFrame, cohort: Cohort) -> DataFrame:
 def _nearest(starts: DataFrame, events: DataFrame, event: str, before: bool) -> DataFrame:
     """The event date nearest to each start, on the given side of it and at most 30 days away.
 
-    Dates are matched through the 31 days an event can reach, as an equi-join on (member, day): a member with
-    very many events is spread over days, and no pairs within a member are formed.
+    Days fall into buckets of 31, so the days in reach of a start touch two of them, and the match is an equi-join
+    on (member, bucket). Events and starts are distinct days: a bucket holds at most 31 of each, however many
+    admissions a member has.
     """
-    first, last = (F.col(event), F.date_add(event, READMIT_DAYS)) if before else (
-        F.date_sub(event, READMIT_DAYS), F.col(event))
-    pick = F.max if before else F.min
-    reach = (
-        events.where(F.col(event).isNotNull())
-        .withColumn("snf_start", F.explode(F.sequence(first, last)))
+    start = F.col("snf_start")
+    first, last = (F.date_sub(start, READMIT_DAYS), start) if before else (start, F.date_add(start, READMIT_DAYS))
+    buckets = F.array_distinct(F.array(_bucket(first), _bucket(last)))
+    in_reach = starts.withColumn("bucket", F.explode(buckets)).join(
+        events.withColumn("bucket", _bucket(F.col(event))), ["member_id", "bucket"]
+    )
+    return (
+        in_reach.where(F.col(event).between(first, last))
         .groupBy("member_id", "snf_start")
-        .agg(pick(event).alias(event))
+        .agg((F.max if before else F.min)(event).alias(event))
     )
-    return starts.join(reach, ["member_id", "snf_start"])
+
+
+def _bucket(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / (READMIT_DAYS + 1))
