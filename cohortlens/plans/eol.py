@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.config import HOSPICE_LINES
+from cohortlens.config import BROADCAST_ROWS, HOSPICE_LINES
 from cohortlens.functions.numbers import is_yes
 from cohortlens.operators.cohort import Cohort
 from cohortlens.operators.episodes import died_in_hospital
@@ -48,6 +48,10 @@ def eol_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | N
     return evaluate(totals, measures)
 
 
+def few_rows(frame: DataFrame) -> bool:
+    return frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     """Cohort members who died in the period, with the set of statuses they were seen in."""
     died = tables.members.where(cohort.period.holds("death_date")).select(
@@ -68,8 +72,12 @@ def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
 def with_final_care(people: DataFrame, claims: DataFrame) -> DataFrame:
     """Add each decedent's cost in the last 30 days or later, hospital death and hospice use.
 
-    Claims need not be attributed. They are summed per member and end date before they meet the decedents.
+    Claims need not be attributed. They are summed per member and end date before they meet the decedents. When
+    those have been counted and are few enough, their ids go to the claims first, and only their claims are shuffled.
     """
+    ids = people.select("member_id")
+    if few_rows(ids):
+        claims = claims.join(F.broadcast(ids), "member_id", "left_semi")
     care = claims.groupBy("member_id", "prm_todate").agg(
         F.sum("prm_costs").alias("cost"),
         F.sum(F.when(F.col("prm_line").isin(*HOSPICE_LINES), F.col("prm_util"))).alias("hospice_days"),

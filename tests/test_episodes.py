@@ -1,7 +1,10 @@
 import random
 from datetime import date, timedelta
 
+import pytest
+
 from cohortlens.operators.episodes import episode_flags, hospital_deaths, snf_readmit_cases
+from cohortlens.plans import eol
 from cohortlens.plans.eol import eol_metrics
 from cohortlens.plans.pac import pac_drg_summary, pac_metrics
 from helpers import claim, claim_tables, cohort_of, member, metric_list, window
@@ -102,7 +105,9 @@ def test_stays_between_index_and_readmission_match_brute_force(spark):
     assert len(found) == len(set(found)) and set(found) == expected
 
 
-def test_decedents_count_in_each_status_and_once_in_the_totals(spark):
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 1])
+def test_decedents_count_in_each_status_and_once_in_the_totals(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(eol, "BROADCAST_ROWS", broadcast_rows)
     death = date(2020, 6, 15)
     windows = year_of_windows([1, 2, 3])
     windows[0]["elig_status_1"] = "Disabled"
