@@ -36,7 +36,7 @@ def eol_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | N
     measures = measures or MEASURES
     people = decedents(tables, cohort)
     if dims_of(measures):
-        people = with_final_care(people, tables.outclaims)
+        people = with_final_care(people, claims_of_the_dead(tables, cohort))
     values = [c for c in people.columns if c not in ("member_id", "death_date", "statuses")]
     non_esrd = F.when(F.exists("statuses", lambda s: s != ESRD), F.lit(NON_ESRD))
     groups = F.array_compact(F.concat(F.col("statuses"), F.array(non_esrd, F.lit(ALL))))
@@ -48,8 +48,15 @@ def eol_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | N
     return evaluate(totals, measures)
 
 
-def few_rows(frame: DataFrame) -> bool:
-    return frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+def claims_of_the_dead(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+    """The claims, without those of the living when the period's dead have been counted and are few enough.
+
+    Their ids are then broadcast to the scan, and only their claims are shuffled. Otherwise all claims go on.
+    """
+    dead = tables.members.where(cohort.period.holds("death_date")).select("member_id")
+    if dead.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return tables.outclaims
+    return tables.outclaims.join(F.broadcast(dead), "member_id", "left_semi")
 
 
 def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
@@ -72,12 +79,8 @@ def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
 def with_final_care(people: DataFrame, claims: DataFrame) -> DataFrame:
     """Add each decedent's cost in the last 30 days or later, hospital death and hospice use.
 
-    Claims need not be attributed. They are summed per member and end date before they meet the decedents. When
-    those have been counted and are few enough, their ids go to the claims first, and only their claims are shuffled.
+    Claims need not be attributed. They are summed per member and end date before they meet the decedents.
     """
-    ids = people.select("member_id")
-    if few_rows(ids):
-        claims = claims.join(F.broadcast(ids), "member_id", "left_semi")
     care = claims.groupBy("member_id", "prm_todate").agg(
         F.sum("prm_costs").alias("cost"),
         F.sum(F.when(F.col("prm_line").isin(*HOSPICE_LINES), F.col("prm_util"))).alias("hospice_days"),
