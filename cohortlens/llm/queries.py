@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import exact_dedup, simhash
+from cohortlens.llm import exact_dedup, mixing, quality, simhash
 from cohortlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,97 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(documents(spark, sf_dir))
+
+
+SQL["op4_host_quality"] = r"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (
+    SELECT doc_id, source,
+           regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS bare,
+           list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM t
+),
+windows AS (
+    SELECT doc_id, i, words[i:i+2] AS three
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+),
+repeated AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1
+),
+covered AS (
+    SELECT doc_id, sum(least(coalesce(following - i, 3), 3)) AS n_repeat_words
+    FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM repeated)
+    GROUP BY doc_id
+),
+m AS (
+    SELECT w.doc_id, source, len(words) AS n_words, length(bare) AS word_chars,
+           length(regexp_replace(bare, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN covered USING (doc_id)
+),
+f AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           base_failed OR 100 * n_symbols > 10 * n_words AS failed
+    FROM m
+),
+hosts AS (
+    SELECT source, count(*) AS docs, count(*) FILTER (failed) AS failed FROM f GROUP BY source
+),
+prior AS (
+    SELECT sum(failed) / sum(docs) AS mean, var_pop(failed / docs) AS variance,
+           CASE WHEN var_pop(failed / docs) > 0
+                THEN least(greatest(sum(failed) / sum(docs) * (1 - sum(failed) / sum(docs)) / var_pop(failed / docs) - 1, 1), 1000)
+                ELSE 1000 END AS weight
+    FROM hosts
+)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (hosts.failed + mean * weight) / (hosts.docs + weight) <= 0.5 AS kept
+FROM f JOIN hosts ON f.source IS NOT DISTINCT FROM hosts.source, prior
+"""
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+SQL["op9_mixing"] = r"""
+WITH sizes AS (
+    SELECT doc_id, source, md5('0:' || coalesce(doc_id::VARCHAR, '')) AS key,
+           len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size
+    FROM documents
+),
+s AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           (1.0::DOUBLE + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) AS weight
+    FROM sizes GROUP BY source
+),
+levels AS (
+    SELECT *, (sum(source_size) OVER ()
+               - coalesce(sum(3 * source_size) OVER (fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM s WINDOW fill AS (ORDER BY 3 * source_size / weight, source NULLS LAST)
+),
+targets AS (
+    SELECT source, source_size,
+           least(max(level) FILTER (level * weight <= 3 * source_size) OVER () * weight, 3.0 * source_size) AS target
+    FROM levels
+),
+placed AS (
+    SELECT doc_id, size, source_size, target, least(floor(target + 0.5)::BIGINT, 3 * source_size) AS budget,
+           coalesce(sum(size) OVER (PARTITION BY sizes.source ORDER BY key
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target::DOUBLE AS target,
+       CASE WHEN source_size = 0 THEN 0
+            ELSE budget // source_size * size + greatest(least(budget % source_size - before, size), 0) END::BIGINT AS taken
+FROM placed
+"""
