@@ -25,11 +25,11 @@ def scratch_folder(spark: SparkSession) -> str:
     return tempfile.gettempdir() + "/llm-scratch"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *split_by: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     folder = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.partitionBy(*split_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

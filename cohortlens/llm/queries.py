@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import exact_dedup, mixing, quality, simhash
+from cohortlens.llm import exact_dedup, mixing, packing, quality, simhash, token_matrices
 from cohortlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,13 @@ SELECT doc_id, size, source_size, target::DOUBLE AS target,
             ELSE budget // source_size * size + greatest(least(budget % source_size - before, size), 0) END::BIGINT AS taken
 FROM placed
 """
+
+
+@query
+def op1_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_matrices.token_matrices(documents(spark, sf_dir))
+
+
+@query
+def op6_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir))

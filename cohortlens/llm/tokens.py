@@ -2,42 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_OF_TEXT = 0  # the id after each document
 ID_BYTES = 4
-CACHED = 200_000  # distinct pieces whose ids a worker remembers
-CACHED_BYTES = 64  # of longer pieces none
+CACHED = 1_000_000  # distinct words whose ids a worker remembers
+CACHED_BYTES = 64  # of longer ones none
+BLOCK_DOCS = 128  # documents whose unknown words are encoded together
+WORD_END = "</w>"
+# A word and the ASCII marks after it, which the tokenizer takes as one more word; apostrophes can be part of either.
+MARKED = re.compile(rb"(.*?)([!-&(-/:-@\[-`{-~]*)", re.DOTALL)
 
 
-class Encoder(dict):
-    """Text -> little-endian unsigned 32-bit ids.
+class Encoder:
+    """Texts -> little-endian unsigned 32-bit ids, an end of text after each.
 
-    This tokenizer drops white space and never joins what it separates, so texts are cut at ASCII white space and the
-    ids of the pieces, which repeat, are remembered. Strings of special tokens are ordinary text.
+    This tokenizer lower-cases, drops white space and never joins what it separates. Texts are cut at ASCII white
+    space, the ids of words that come again are remembered, and new words of letters are encoded many at a time, apart
+    from the marks that follow them; the last id of each is one that ends a word. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str = TOKENIZER) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode("utf-8"), add_special_tokens=False).ids
-        packed = np.array(ids, "<u4").tobytes()
-        if len(piece) <= CACHED_BYTES:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split())) + END_OF_TEXT.to_bytes(ID_BYTES, "little")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words; those short enough are remembered."""
+        found, letters, stems = {}, {}, {}
+        for word in words:
+            stem, mark = MARKED.fullmatch(word).groups()
+            if not (text := stem.decode()).isalpha() or len(word) > CACHED_BYTES:
+                found[word] = self.ids(word.decode()).tobytes()
+                continue
+            stems[word] = stem, mark
+            if stem not in self.known:
+                letters[stem] = text
+            if mark and mark not in self.known:
+                self.known[mark] = self.ids(mark.decode()).tobytes()
+        if letters:
+            ids = self.ids(" ".join(letters.values()))
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(letters):  # each has at least one, so exactly one
+                data, at = ids.tobytes(), 0
+                for stem, end in zip(letters, (ends * ID_BYTES).tolist(), strict=True):
+                    found[stem], at = data[at:end], end
+            else:  # lower case can be more than letters
+                found.update((stem, self.ids(text).tobytes()) for stem, text in letters.items())
+        for word, (stem, mark) in stems.items():
+            if mark:
+                found[word] = (self.known.get(stem) or found[stem]) + self.known[mark]
+        self.known.update((word, ids) for word, ids in found.items() if len(word) <= CACHED_BYTES)
+        return found
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        end = END_OF_TEXT.to_bytes(ID_BYTES, "little")
+        for at in range(0, len(texts), BLOCK_DOCS):
+            if len(self.known) > CACHED:
+                self.known.clear()
+            block = [text.lower().split() for text in texts[at : at + BLOCK_DOCS]]
+            parts = [list(map(self.known.get, words)) for words in block]
+            new = {w for words, ids in zip(block, parts) if None in ids for w, known in zip(words, ids) if known is None}
+            found = self.learn(new) if new else {}
+            for words, ids in zip(block, parts):
+                if None in ids:
+                    ids = [found[w] if known is None else known for w, known in zip(words, ids)]
+                ids.append(end)
+                yield b"".join(ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -50,12 +94,11 @@ def encoder(path: str = TOKENIZER) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[object, bytes]]:
-    """(doc_id, ids) of each row of batches of (doc_id, text as binary)."""
-    encode = encoder(path).encode
+def encoded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[tuple[object, bytes]]:
+    """(doc_id, ids) of each row of batches of doc_id and the text as binary, null as empty."""
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            yield doc_id, encode(text.as_buffer().to_pybytes() if text.is_valid else b"")
+        texts = [text or b"" for text in batch.column(1).to_pylist()]
+        yield from zip(batch.column(0).to_pylist(), encoder(path).encode(texts), strict=True)
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
