@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import exact_dedup, mixing, packing, quality, simhash, token_matrices
+from cohortlens.llm import chat, exact_dedup, mixing, packing, passages, quality, secrets, simhash, token_matrices
 from cohortlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,111 @@ def op1_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir))
+
+    def written(spans) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    base = F.filter("found", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("found")).alias("spans")
+    )
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(spans: str) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ","
+        ).alias(spans)
+
+    return passages.drop_repeated_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_removed", written("removed"), written("kept"), "text"
+    )
+
+
+SQL["op5_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, text, i, line,
+           (SELECT coalesce(sum(length(x) + 1), 0) FROM unnest(parts[1:i-1]) AS u(x))::BIGINT AS start
+    FROM (SELECT doc_id, text, parts, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line
+          FROM (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+),
+units AS (
+    SELECT doc_id, text, start, start + length(line) AS "end", row_number() OVER (PARTITION BY doc_id ORDER BY i) AS unit,
+           list_filter(string_split_regex(lower(line), '\s+'), lambda x: x <> '') AS words
+    FROM lines WHERE regexp_matches(line, '\S')
+),
+repeats AS (
+    SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run
+    FROM (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, unit) AS nth FROM units)
+    WHERE nth > 1
+),
+runs AS (
+    SELECT doc_id, min(text) AS text, min(start) AS start, max("end") AS "end", count(*) AS units
+    FROM repeats GROUP BY doc_id, run HAVING sum(len(words)) >= 25
+),
+removed AS (
+    SELECT doc_id, sum(units)::BIGINT AS n_removed, min(text) AS text,
+           list({'start': start, 'end': "end"} ORDER BY start) AS removed
+    FROM runs GROUP BY doc_id
+),
+spans AS (
+    SELECT doc_id, n_removed, removed, text,
+           list_filter(list_transform(range(1, len(removed) + 2), lambda i: {
+               'start': CASE WHEN i = 1 THEN 0 ELSE least(removed[i - 1]['end'] + 1, length(text)) END::BIGINT,
+               'end': CASE WHEN i > len(removed) THEN length(text) ELSE removed[i]['start'] END::BIGINT
+           }), lambda s: s['start'] < s['end']) AS kept
+    FROM removed
+)
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed,
+       coalesce(array_to_string(list_transform(removed, lambda k: concat(k['start'], '-', k['end'])), ','), '') AS removed,
+       CASE WHEN s.doc_id IS NOT NULL
+            THEN coalesce(array_to_string(list_transform(kept, lambda k: concat(k['start'], '-', k['end'])), ','), '')
+            WHEN length(coalesce(d.text, '')) = 0 THEN ''
+            ELSE concat(0, '-', length(d.text)) END AS kept,
+       CASE WHEN s.doc_id IS NULL THEN coalesce(d.text, '')
+            ELSE coalesce(array_to_string(list_transform(kept, lambda k: substring(s.text, k['start'] + 1, k['end'] - k['start'])), ''), '')
+       END AS text
+FROM documents d LEFT JOIN spans s USING (doc_id)
+"""
+
+
+@query
+def op7_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+SQL["op7_chat_snapshots"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, text, {'turn': turn, 'role': role, 'text': text} AS said,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n
+    FROM conversations
+),
+prefixes AS (
+    SELECT conv_id, n, md5(list(said) OVER (PARTITION BY conv_id ORDER BY n)::VARCHAR) AS prefix,
+           max(n) OVER (PARTITION BY conv_id) AS turns
+    FROM turns
+),
+stay AS (
+    SELECT min(conv_id) AS conv_id, count(*) AS copies, turns
+    FROM prefixes
+    WHERE n = turns AND prefix NOT IN (SELECT prefix FROM prefixes WHERE n < turns)
+    GROUP BY prefix, turns
+)
+SELECT conv_id, ((n - 1) // 256)::INT AS part, turns, copies,
+       string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY n) AS text
+FROM stay JOIN turns USING (conv_id)
+GROUP BY ALL
+"""
