@@ -1,83 +1,99 @@
-"""Repeated passages: lines are normalised and hashed, digests grouped globally, and the earliest occurrence kept.
+"""Repeated passages: lines, cut at sentence ends, are normalised and hashed, and the earliest occurrence is kept.
 
-A line is removed when it is not the first of its digest and the run of such lines that it stands in (blank lines do
-not break a run) has at least ``min_words`` words: single short lines that many texts have in common are style, not
-copies. Removals are spans of the original text.
+A unit is removed when it is not the first of its digest and the run of such units that it stands in has at least
+``min_words`` words: single short sentences that many texts have in common are style, not copies. Cutting lines at
+sentence ends also finds passages that start or end within a line. Removals are spans of the original text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import same, stage, text_key, whole_text
+from cohortlens.llm.common import SPACE_CLASS, same, text_key, whole_text
 
 MIN_WORDS = 25
-ROWS = 20_000  # of units, sent to Spark at once
+BLOCK = 100_000  # units compared with each other before they are shuffled, and sent to Spark at once
+# Up to a mark that ends a sentence before white space, or else to the end of the line.
+UNIT = re.compile(rf"[^\n]*?[.!?](?={SPACE_CLASS})|[^\n]+")
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """A row per line with a word: doc_id, text_key, unit (from 0), start, end (code points, end exclusive, without the
-    line break), words, digest of the line with A-Z in lower case and single
-    spaces."""
+    """A row per unit with a word: doc_id, text_key, unit (from 0), start, end (code points, end exclusive), words,
+    digest of the unit with A-Z in lower case and single spaces, repeated.
+
+    Units that repeat one of the same block which ranks before them are marked ``repeated`` here, and get a digest of
+    their own: however often a line occurs, the shuffle has it once for each block at most.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "text_key", "unit", "start", "end", "words", "digest"]
-    schema = f"doc_id {kind}, text_key bigint, unit int, start bigint, `end` bigint, words int, digest binary"
+    names = ["doc_id", "text_key", "unit", "start", "end", "words", "digest", "repeated"]
+    schema = (
+        f"doc_id {kind}, text_key bigint, unit int, start bigint, `end` bigint, words int, digest binary, "
+        "repeated boolean"
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            types = [id_type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            types = [id_type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
             rows: list[tuple] = []
             for doc_id, key, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))):
-                rows += lines(doc_id, key, text)
-                if len(rows) >= ROWS:
+                rows += units_of(doc_id, key, text)
+                if len(rows) >= BLOCK:
                     yield record(rows, types)
                     rows = []
             if rows:
                 yield record(rows, types)
 
     def record(rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+        columns = [*zip(*rows, strict=True), *marks(rows)]
+        del columns[6]  # the digests as they were
         return pa.RecordBatch.from_arrays(
-            [pa.array(column, t) for column, t in zip(zip(*rows, strict=True), types, strict=True)], names
+            [pa.array(column, t) for column, t in zip(columns, types, strict=True)], names
         )
 
     source = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
     return source.mapInArrow(work, schema)
 
 
-def lines(doc_id: object, key: int, text: str) -> Iterator[tuple]:
-    unit = at = 0
-    for line in text.split("\n"):
-        if words := line.encode().lower().split():  # on bytes: A-Z, and exactly the six ASCII spaces
+def marks(rows: list[tuple]) -> tuple[list[bytes], list[bool]]:
+    """Digests for the shuffle, and which rows repeat one that ranks before them."""
+    first: dict[bytes, tuple] = {}
+    places = [(row[0] is None, row[0], row[1], row[2]) for row in rows]
+    for place, row in zip(places, rows, strict=True):
+        if row[6] not in first or place < first[row[6]]:
+            first[row[6]] = place
+    repeated = [place != first[row[6]] for place, row in zip(places, rows, strict=True)]
+    own = (f"{row[1]}:{row[2]}".encode() if again else row[6] for row, again in zip(rows, repeated, strict=True))
+    return list(own), repeated
+
+
+def units_of(doc_id: object, key: int, text: str) -> Iterator[tuple]:
+    unit = 0
+    for found in UNIT.finditer(text):
+        if words := found[0].encode().lower().split():  # on bytes: A-Z, and exactly the six ASCII spaces
             digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-            yield doc_id, key, unit, at, at + len(line), len(words), digest
+            yield doc_id, key, unit, found.start(), found.end(), len(words), digest
             unit += 1
-        at += len(line) + 1
 
 
 def removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """A row per document that loses something: doc_id, text_key, n_removed, removed (array of start, end in order).
 
-    Occurrences are ranked by doc_id (null last), text_key and line. Rows that repeat both are one document.
+    Occurrences are ranked by doc_id (null last), text_key and unit. Rows that repeat both are one document.
     """
-    rows = stage(units(docs), "units")
-    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"), F.col("unit"))
-    shared = stage(
-        rows.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-        .select("digest", "first"),
-        "shared",
-    )
+    ranked = Window.partitionBy("digest").orderBy(F.col("doc_id").isNull(), "doc_id", "text_key", "unit")
     document = Window.partitionBy("doc_id", "text_key")
-    # consecutive lines have the same difference between their number and their rank among the repeated ones
+    # consecutive units have the same difference between their number and their rank among the repeated ones
     repeats = (
-        rows.join(shared, "digest")
-        .where(place != F.col("first"))
-        .select("doc_id", "text_key", "unit", "start", "end", "words")
+        units(docs)
+        .withColumn("rank", F.rank().over(ranked))
+        .where("repeated or rank > 1")
         .groupBy("doc_id", "text_key", "unit")
         .agg(*[F.first(c).alias(c) for c in ("start", "end", "words")])
         .withColumn("run", F.col("unit") - F.row_number().over(document.orderBy("unit")))
@@ -92,29 +108,28 @@ def removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each row of docs: doc_id, n_removed (lines), removed, kept (spans of the original text), text (what
-    is kept, in order; the line break after a removed run goes with it).
+    """A row for each row of docs: doc_id, n_removed (units), removed, kept (spans of the original text), text (what is
+    kept, in order; line breaks stay).
 
-    A null text is an empty one and loses nothing. No rows give no rows.
+    A null text is an empty one and loses nothing. No rows give no rows. Spans grow with the documents, so they are
+    never broadcast: both sides are shuffled at every size.
     """
     spans = removed_spans(docs, min_words).select(
         F.col("doc_id").alias("of"), F.col("text_key").alias("of_text"), "n_removed", "removed"
     )
-    spans = stage(spans, "spans")
     texts = docs.select("doc_id", whole_text().alias("text"), text_key().alias("key"))
-    joined = texts.join(spans, same(F.col("doc_id"), F.col("of")) & (F.col("key") == F.col("of_text")), "left")
-    length = F.length("text").cast("bigint")
+    on = same(F.col("doc_id"), F.col("of")) & (F.col("key") == F.col("of_text"))
+    joined = texts.join(spans.hint("merge"), on, "left")
     removed = F.coalesce("removed", F.array().cast("array<struct<start: bigint, end: bigint>>"))
-    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("removed", lambda s: F.least(s["end"] + 1, length)))
-    ends = F.concat(F.transform("removed", lambda s: s["start"]), F.array(length))
-    kept = F.filter(
-        F.transform(F.arrays_zip(starts.alias("start"), ends.alias("end")),
-                    lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))),
-        lambda s: s["start"] < s["end"],
+    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("removed", lambda s: s["end"]))
+    ends = F.concat(F.transform("removed", lambda s: s["start"]), F.array(F.length("text").cast("bigint")))
+    kept = F.filter(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: s["start"] < s["end"])
+    pieces = F.transform(
+        "kept", lambda s: F.substring("text", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
     )
-    pieces = F.transform("kept", lambda s: F.substring("text", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
+    n_removed = F.coalesce("n_removed", F.lit(0).cast("bigint"))
     return (
-        joined.select("doc_id", "text", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"), removed.alias("removed"))
+        joined.select("doc_id", "text", n_removed.alias("n_removed"), removed.alias("removed"))
         .select("*", kept.alias("kept"))
         .select("doc_id", "n_removed", "removed", "kept", F.array_join(pieces, "").alias("text"))
     )

@@ -186,16 +186,22 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op5_line_dedup"] = r"""
-WITH lines AS (
-    SELECT doc_id, text, i, line,
-           (SELECT coalesce(sum(length(x) + 1), 0) FROM unnest(parts[1:i-1]) AS u(x))::BIGINT AS start
-    FROM (SELECT doc_id, text, parts, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line
-          FROM (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+WITH pieces AS (
+    SELECT doc_id, text,
+           string_split(replace(regexp_replace(text, '([.!?])([\x20\x09-\x0D])', '\1' || chr(1) || '\2', 'g'),
+                                chr(10), chr(10) || chr(1)), chr(1)) AS parts
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+),
+placed AS (
+    SELECT doc_id, text, i, rtrim(part, chr(10)) AS line,
+           (sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) - length(part))::BIGINT AS start
+    FROM (SELECT doc_id, text, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS part FROM pieces)
 ),
 units AS (
     SELECT doc_id, text, start, start + length(line) AS "end", row_number() OVER (PARTITION BY doc_id ORDER BY i) AS unit,
-           list_filter(string_split_regex(lower(line), '\s+'), lambda x: x <> '') AS words
-    FROM lines WHERE regexp_matches(line, '\S')
+           list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM placed WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ),
 repeats AS (
     SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run
@@ -214,7 +220,7 @@ removed AS (
 spans AS (
     SELECT doc_id, n_removed, removed, text,
            list_filter(list_transform(range(1, len(removed) + 2), lambda i: {
-               'start': CASE WHEN i = 1 THEN 0 ELSE least(removed[i - 1]['end'] + 1, length(text)) END::BIGINT,
+               'start': CASE WHEN i = 1 THEN 0 ELSE removed[i - 1]['end'] END::BIGINT,
                'end': CASE WHEN i > len(removed) THEN length(text) ELSE removed[i]['start'] END::BIGINT
            }), lambda s: s['start'] < s['end']) AS kept
     FROM removed
