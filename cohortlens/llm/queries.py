@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import chat, exact_dedup, mixing, packing, passages, quality, secrets, simhash, token_matrices
+from cohortlens.llm import chat, exact_dedup, language_id, mixing, packing, passages, quality, secrets, simhash, token_matrices
 from cohortlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -265,3 +265,11 @@ SELECT conv_id, ((n - 1) // 256)::INT AS part, turns, copies,
 FROM stay JOIN turns USING (conv_id)
 GROUP BY ALL
 """
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.learned(docs)).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"
+    )
