@@ -39,22 +39,24 @@ def sample(docs: DataFrame, docs_each: int = SAMPLE_DOCS, windows: int = SAMPLE_
     spread over its whole text."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out())
     share = F.least(F.lit(1.0), F.lit(2.0 * docs_each) / F.count(F.lit(1)))
-    shares = known.groupBy(F.col("lang").alias("of")).agg(share.alias("share"))  # a row per language
+    # a row per language, of which the network has an output each
+    shares = F.broadcast(known.groupBy(F.col("lang").alias("of")).agg(share.alias("share")))
     place = F.xxhash64("doc_id", "text")
+    length = F.length("text")
+    several = F.least(F.lit(windows), F.ceil(length / WINDOW)).cast("int")
+    step = F.greatest(length - WINDOW, F.lit(0)) / F.greatest(several - 1, F.lit(1))
+    cut = F.transform(
+        F.sequence(F.lit(0), several - 1), lambda i: F.substring("text", (i * step).cast("int") + 1, F.lit(WINDOW))
+    )
     drawn = (
         known.join(shares, F.col("lang") == F.col("of"))
         .where(F.pmod(place, F.lit(1 << 20)) < F.col("share") * (1 << 20))
-        .select("lang", "text", place.alias("place"))
+        .select("lang", place.alias("place"), cut.alias("cut"))
     )
-    first = Window.partitionBy("lang").orderBy("place")
-    length = F.length("text")
-    several = F.least(F.lit(windows), F.ceil(length / WINDOW)).cast("int")
-    step = F.greatest(length - WINDOW, F.lit(0)) / F.greatest(several - 1, F.lit(1))
-    cut = F.transform(F.sequence(F.lit(0), several - 1), lambda i: F.substring("text", (i * step).cast("int") + 1, F.lit(WINDOW)))
     rows = (
-        drawn.withColumn("nth", F.row_number().over(first))
+        drawn.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
         .where(F.col("nth") <= docs_each)
-        .select("lang", "place", F.posexplode(cut).alias("at", "window"))
+        .select("lang", "place", F.posexplode("cut").alias("at", "window"))
     )
     return [(r["lang"], r["window"]) for r in rows.orderBy("lang", "place", "at").collect()]
 
