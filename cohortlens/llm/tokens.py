@@ -13,16 +13,18 @@ from tokenizers import Tokenizer
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_OF_TEXT = 0  # the id after each document
 ID_BYTES = 4
-CACHED = 1_000_000  # distinct words whose ids a worker remembers
+CACHED = 500_000  # distinct words whose ids a worker remembers
 CACHED_BYTES = 64  # of longer ones none
 BLOCK_DOCS = 128  # documents whose unknown words are encoded together
+BLOCK_BYTES = 2 << 20  # longer blocks and texts are encoded in parts
 WORD_END = "</w>"
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 # A word and the ASCII marks after it, which the tokenizer takes as one more word; apostrophes can be part of either.
 MARKED = re.compile(rb"(.*?)([!-&(-/:-@\[-`{-~]*)", re.DOTALL)
 
 
 class Encoder:
-    """Texts -> little-endian unsigned 32-bit ids, an end of text after each.
+    """Texts -> little-endian unsigned 32-bit ids.
 
     This tokenizer lower-cases, drops white space and never joins what it separates. Texts are cut at ASCII white
     space, the ids of words that come again are remembered, and new words of letters are encoded many at a time, apart
@@ -69,19 +71,17 @@ class Encoder:
         return found
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        end = END_OF_TEXT.to_bytes(ID_BYTES, "little")
-        for at in range(0, len(texts), BLOCK_DOCS):
-            if len(self.known) > CACHED:
-                self.known.clear()
-            block = [text.lower().split() for text in texts[at : at + BLOCK_DOCS]]
-            parts = [list(map(self.known.get, words)) for words in block]
-            new = {w for words, ids in zip(block, parts) if None in ids for w, known in zip(words, ids) if known is None}
-            found = self.learn(new) if new else {}
-            for words, ids in zip(block, parts):
-                if None in ids:
-                    ids = [found[w] if known is None else known for w, known in zip(words, ids)]
-                ids.append(end)
-                yield b"".join(ids)
+        """The ids of texts that are short enough to be taken together."""
+        if len(self.known) > CACHED:
+            self.known.clear()
+        block = [text.lower().split() for text in texts]
+        parts = [list(map(self.known.get, words)) for words in block]
+        new = {w for words, ids in zip(block, parts) if None in ids for w, known in zip(words, ids) if known is None}
+        found = self.learn(new) if new else {}
+        for words, ids in zip(block, parts):
+            if None in ids:
+                ids = [found[w] if known is None else known for w, known in zip(words, ids)]
+            yield b"".join(ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -95,10 +95,28 @@ def encoder(path: str = TOKENIZER) -> Encoder:
 
 
 def encoded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[tuple[object, bytes]]:
-    """(doc_id, ids) of each row of batches of doc_id and the text as binary, null as empty."""
+    """(doc_id, ids) of each row of batches of doc_id and the text as binary, null as empty; an end of text after each."""
+    encode, end = encoder(path).encode, END_OF_TEXT.to_bytes(ID_BYTES, "little")
     for batch in batches:
-        texts = [text or b"" for text in batch.column(1).to_pylist()]
-        yield from zip(batch.column(0).to_pylist(), encoder(path).encode(texts), strict=True)
+        for at in range(0, len(batch), BLOCK_DOCS):
+            part = batch.slice(at, BLOCK_DOCS)
+            texts = [text or b"" for text in part.column(1).to_pylist()]
+            if sum(map(len, texts)) <= BLOCK_BYTES:
+                ids = encode(texts)
+            else:
+                ids = (b"".join(next(encode([piece])) for piece in pieces(text)) for text in texts)
+            for doc_id, own in zip(part.column(0).to_pylist(), ids, strict=True):
+                yield doc_id, own + end
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A long text in parts that end at white space, where there is some."""
+    at = 0
+    while at < len(text):
+        border = SPACE.search(text, at + BLOCK_BYTES)
+        end = border.start() if border else len(text)
+        yield text[at:end]
+        at = end
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
