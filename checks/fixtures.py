@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.sources.tables import ClaimTables
+from cohortlens.sources.tables import ClaimTables, conform
 
 # Declared, so that Spark need not open the files to learn their schemas.
 DRIVER_TABLES = {
@@ -191,7 +191,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> ClaimTables:
     """Every domain table as a lazy DataFrame over ``sf_dir``; unused columns are pruned by Catalyst."""
     for name, schema in DRIVER_TABLES.items():
         spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return ClaimTables(**{name: _derive(spark, name) for name in PLAIN})
+    return ClaimTables(**{name: conform(_derive(spark, name), name) for name in PLAIN})
 
 
 def _derive(spark: SparkSession, name: str) -> DataFrame:

@@ -573,7 +573,7 @@ CTES["rolled"] = union(*[family(name) for name in ROLLED_FAMILIES])
 def rollup_sql(source: str) -> str:
     return f"""
         SELECT 'Non-ESRD' AS elig_status, metric_id,
-          CAST(sum(CAST(metric_value AS DECIMAL(28,6))) AS DOUBLE) AS metric_value
+          list_reduce(list_sort(list(metric_value) FILTER (metric_value IS NOT NULL)), lambda a, b: a + b) AS metric_value
         FROM {source} WHERE elig_status IN ('Aged Non-Dual', 'Aged Dual', 'Disabled') GROUP BY metric_id
     """
 

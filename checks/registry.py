@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from cohortlens.functions.numbers import from_ticks
 from cohortlens.operators import attribution, cohort as cohorts, cost, episodes, risk, rollup
 from cohortlens.operators.cohort import Cohort, build_cohort
 from cohortlens.plans import basic, betos, eol, er, inpatient, lines, outpatient, pac, report, snf, truncation
+from cohortlens.sources.staging import CHECKPOINT_DIR, staging_folder
 from cohortlens.sources.tables import ClaimTables
 
 CLIENT = "Sample Client"
@@ -200,11 +202,11 @@ def only(frame: DataFrame, *metric_ids: str) -> DataFrame:
 
 
 def snf_part(measures: list) -> Plan:
-    return lambda t, c: snf.snf_metrics(t, c, measures=measures)
+    return lambda t, c: snf.snf_metrics(t, c, measures=measures, adjusted=False)
 
 
 def er_part(measures: list) -> Plan:
-    return lambda t, c: er.er_metrics(t, c, measures=measures)
+    return lambda t, c: er.er_metrics(t, c, measures=measures, adjusted=False)
 
 
 def inpatient_counts(measures: list) -> Plan:
@@ -240,13 +242,13 @@ MEASURE_PLANS: dict[str, Plan] = {
     "office_visits": lambda t, c: outpatient.outpatient_metrics(t, c, adjusted=outpatient.OFFICE_VISITS),
     "psp_procedures": lambda t, c: outpatient.outpatient_metrics(t, c, counts=outpatient.PSP_PROCEDURES),
     "snf_admits": snf_part(snf.ADMITS),
-    "snf_admits_adjusted": lambda t, c: only(snf.snf_metrics(t, c), snf.ADJUSTED_ID),
+    "snf_admits_adjusted": lambda t, c: only(snf.snf_metrics(t, c, measures=snf.ADMITS), snf.ADJUSTED_ID),
     "snf_long_stays": snf_part(snf.LONG_STAYS),
     "snf_all_cause_readmissions": snf_part(snf.ALL_CAUSE_READMITS),
     "snf_facilities": snf_part(snf.FACILITIES),
     "snf_flagged_readmissions": snf_part(snf.FLAGGED_READMITS),
     "er_visits": er_part(er.VISITS),
-    "er_visits_adjusted": lambda t, c: only(er.er_metrics(t, c), er.ADJUSTED_ID),
+    "er_visits_adjusted": lambda t, c: only(er.er_metrics(t, c, measures=er.VISITS), er.ADJUSTED_ID),
     "er_visit_classes": er_part(er.CLASSIFIED),
     "pac_episodes": lambda t, c: pac.pac_metrics(t, c, pac.EPISODES),
     "pac_hospital_deaths": lambda t, c: pac.pac_metrics(t, c, pac.DEATHS),
@@ -302,8 +304,17 @@ register(
     labelled(truncation.truncation_summary),
     oracle.labelled_sql(oracle.TRUNCATION_SQL, CLIENT, LABEL),
 )
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The session's shared folder; where a local session names none, a temporary one."""
+    if spark.conf.get(CHECKPOINT_DIR, None) or not spark.sparkContext.master.startswith("local["):
+        return staging_folder(spark)
+    return tempfile.mkdtemp(prefix="cohortlens-")
+
+
 REGISTRY["metrics_report"] = Query(
-    lambda spark, sf_dir: report.build_report(domain_tables(spark, sf_dir), CURRENT).metrics,
+    lambda spark, sf_dir: report.build_report(domain_tables(spark, sf_dir), CURRENT, run_folder(spark)).metrics,
     oracle.full(oracle.report_sql(CLIENT, LABEL)),
 )
 
@@ -313,7 +324,7 @@ SCENARIOS = {
 }
 _SCENARIO_CTES = {"year_to_date": YTD_CTES, "rolling": {"period": oracle.period_sql(6)}}
 REGISTRY["scenario_reports"] = Query(
-    lambda spark, sf_dir: report.run_scenarios(domain_tables(spark, sf_dir), SCENARIOS).metrics,
+    lambda spark, sf_dir: report.run_scenarios(domain_tables(spark, sf_dir), SCENARIOS, run_folder(spark)).metrics,
     oracle.union(
         *[
             f"SELECT '{name}' AS scenario, r.* FROM "

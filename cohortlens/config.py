@@ -43,9 +43,6 @@ RISK_BANDS = {
 OPEN_RISK_BAND = (2.0, 500.0)
 # --- End of fixed values ------------------------------------------------------------------------
 
-# A side of a join is only broadcast on purpose when it has been counted and has no more rows than this.
-BROADCAST_ROWS = 1_000_000
-
 
 class Assignment(Enum):
     """Which members belong to the cohort."""

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(28,8)"
-# For adding up values that are already totals: fewer decimals than a double of their size resolves.
-EXACT_TOTAL = "decimal(28,6)"
+# For shares of a month, which are small: all digits that a double of their size has.
+EXACT_SHARE = "decimal(38,18)"
 
 
 def exact_sum_sql(value: str) -> str:
@@ -23,6 +23,13 @@ def exact_sum(value: str) -> Column:
     return F.expr(exact_sum_sql(value))
 
 
+def ordered_sum(value: Column) -> Column:
+    """Sum a few doubles of a group, such as one metric's rows by status, in ascending order, so that the result is
+    the same on every run and nothing is rounded before; NULL where there are none."""
+    values = F.sort_array(F.collect_list(value))
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda total, x: total + x))
+
+
 def weighted_mean(value: str, weight: str) -> Column:
     """``sum(value * weight) / sum(weight)``; the weight of a NULL value still counts."""
     return F.expr(f"try_divide({exact_sum_sql(f'({value}) * ({weight})')}, {exact_sum_sql(weight)})")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import Assignment, ReportConfig
 from cohortlens.functions.dates import ReportingPeriod, lookup_period, month_of
+from cohortlens.functions.numbers import EXACT_SHARE
 from cohortlens.sources.tables import ClaimTables
 
 UNKNOWN_STATUS = "Unknown"
@@ -88,7 +89,7 @@ def collapse_windows(windows: DataFrame) -> DataFrame:
     """
     latest = F.max(F.struct("date_end", "date_start", "elig_status_1"))
     return windows.groupBy("member_id", "elig_month").agg(
-        F.sum("memmos_medical").alias("memmos"), latest["elig_status_1"].alias("elig_status")
+        F.sum(F.col("memmos_medical").cast(EXACT_SHARE)).cast("double").alias("memmos"), latest["elig_status_1"].alias("elig_status")
     )
 
 

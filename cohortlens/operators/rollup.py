@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.config import NON_ESRD_STATUSES
-from cohortlens.functions.numbers import EXACT_TOTAL
+from cohortlens.functions.numbers import ordered_sum
 
 NON_ESRD = "Non-ESRD"
 
@@ -24,7 +24,7 @@ def non_esrd_rollup(metrics: DataFrame, leave_out: tuple[str, ...] = ()) -> Data
     return (
         metrics.groupBy("metric_id")
         .agg(
-            F.sum(F.when(inside, F.col("metric_value")).cast(EXACT_TOTAL)).cast("double").alias("metric_value"),
+            ordered_sum(F.when(inside, F.col("metric_value"))).alias("metric_value"),
             F.count_if(inside).alias("inside_rows"),
         )
         .where(F.col("inside_rows") > 0)

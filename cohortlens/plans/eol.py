@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.config import BROADCAST_ROWS, HOSPICE_LINES
+from cohortlens.config import HOSPICE_LINES
 from cohortlens.functions.numbers import is_yes
 from cohortlens.operators.cohort import Cohort
 from cohortlens.operators.episodes import died_in_hospital
@@ -36,7 +36,7 @@ def eol_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | N
     measures = measures or MEASURES
     people = decedents(tables, cohort)
     if dims_of(measures):
-        people = with_final_care(people, claims_of_the_dead(tables, cohort))
+        people = with_final_care(people, tables.outclaims)
     values = [c for c in people.columns if c not in ("member_id", "death_date", "statuses")]
     non_esrd = F.when(F.exists("statuses", lambda s: s != ESRD), F.lit(NON_ESRD))
     groups = F.array_compact(F.concat(F.col("statuses"), F.array(non_esrd, F.lit(ALL))))
@@ -48,17 +48,6 @@ def eol_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | N
     return evaluate(totals, measures)
 
 
-def claims_of_the_dead(tables: ClaimTables, cohort: Cohort) -> DataFrame:
-    """The claims, without those of the living when the period's dead have been counted and are few enough.
-
-    Their ids are then broadcast to the scan, and only their claims are shuffled. Otherwise all claims go on.
-    """
-    dead = tables.members.where(cohort.period.holds("death_date")).select("member_id")
-    if dead.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        return tables.outclaims
-    return tables.outclaims.join(F.broadcast(dead), "member_id", "left_semi")
-
-
 def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     """Cohort members who died in the period, with the set of statuses they were seen in."""
     died = tables.members.where(cohort.period.holds("death_date")).select(
@@ -79,7 +68,8 @@ def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
 def with_final_care(people: DataFrame, claims: DataFrame) -> DataFrame:
     """Add each decedent's cost in the last 30 days or later, hospital death and hospice use.
 
-    Claims need not be attributed. They are summed per member and end date before they meet the decedents.
+    Claims need not be attributed. They are summed per member and end date before they meet the decedents; how they
+    meet them is left to the session's broadcast threshold and to adaptive execution.
     """
     care = claims.groupBy("member_id", "prm_todate").agg(
         F.sum("prm_costs").alias("cost"),

@@ -28,14 +28,20 @@ MEASURES = [*VISITS, *CLASSIFIED]
 
 
 def er_metrics(
-    tables: ClaimTables, cohort: Cohort, consolidate: bool = False, measures: list[Measure] | None = None
+    tables: ClaimTables,
+    cohort: Cohort,
+    consolidate: bool = False,
+    measures: list[Measure] = MEASURES,
+    adjusted: bool = True,
 ) -> DataFrame:
-    """All emergency measures, or the ones given, from one pass over the visits."""
-    measures = measures or MEASURES
+    """All emergency measures, or the ones given, from one pass over the visits.
+
+    ``adjusted`` adds the risk-adjusted visits, for which the measures have to include the plain ones.
+    """
     typed = with_benefit_type(visit_summary(tables, cohort), tables.ref_link_hcg_researcher_line)
     rows = evaluate(typed, measures, by=("btnumber",))
     parts = [unadjusted(rows, consolidate)]
-    if measures is MEASURES:
+    if adjusted:
         parts.append(adjusted_visits(tables, cohort, rows, consolidate))
     return stack(parts)
 

@@ -24,7 +24,7 @@ from cohortlens.plans.pac import drg_counts, index_summary
 from cohortlens.plans.snf import snf_metrics
 from cohortlens.plans.truncation import truncation_summary
 from cohortlens.sources.sinks import export_text, save_table
-from cohortlens.sources.staging import stage, staging_folder
+from cohortlens.sources.staging import remove, stage, staging_folder
 from cohortlens.sources.tables import ClaimTables
 
 # Metrics whose sum over statuses is not their value for the statuses together.
@@ -103,7 +103,11 @@ def stacked_metrics(families: DataFrame, config: ReportConfig) -> DataFrame:
 
 
 def build_report(tables: ClaimTables, config: ReportConfig, folder: str | None = None) -> Report:
-    """Compute the report. What its parts share is staged in ``folder``, or else below the checkpoint folder."""
+    """Compute the report. What its parts share is staged in ``folder``, or else below the checkpoint folder.
+
+    The frames read what is staged, so the folder has to stay until they have been used; ``write_report`` removes
+    its own.
+    """
     folder = folder or staging_folder(tables.outclaims.sparkSession)
     cohort = staged_cohort(tables, config, folder)
     pac_index = stage(index_summary(tables, cohort), folder, "pac_index")
@@ -119,8 +123,10 @@ def build_report(tables: ClaimTables, config: ReportConfig, folder: str | None =
 
 def write_report(tables: ClaimTables, config: ReportConfig, path: str) -> Report:
     """Write the report's tables as parquet and its four parts as delimited text, and read the tables back."""
-    computed = build_report(tables, config, path)
-    families = tables.outclaims.sparkSession.read.parquet(f"{path}/family_metrics.parquet")
+    spark, scratch = tables.outclaims.sparkSession, f"{path}/_staged"
+    computed = build_report(tables, config, scratch)
+    save_table(spark.read.parquet(f"{scratch}/member_months.parquet"), f"{path}/member_months.parquet")
+    families = spark.read.parquet(f"{scratch}/family_metrics.parquet")
     for name in FAMILY_NAMES:
         save_table(families.where(F.col("family") == name).drop("family"), f"{path}/{name}.parquet", max_files=10)
 
@@ -128,12 +134,17 @@ def write_report(tables: ClaimTables, config: ReportConfig, path: str) -> Report
     for part, file_name in PART_FILES.items():
         written[part] = stage(getattr(computed, part), path, file_name)
         export_text(written[part], f"{path}/{file_name}.txt")
+    remove(spark, scratch)
     return Report(**written)
 
 
-def run_scenarios(tables: ClaimTables, scenarios: dict[str, ReportConfig]) -> Report:
-    """Several configurations of the report, stacked and told apart by a leading ``scenario`` column."""
-    reports = {name: build_report(tables, config) for name, config in scenarios.items()}
+def run_scenarios(tables: ClaimTables, scenarios: dict[str, ReportConfig], folder: str | None = None) -> Report:
+    """Several configurations of the report, stacked and told apart by a leading ``scenario`` column.
+
+    Each stages in a folder of its own below ``folder``, or else below the checkpoint folder.
+    """
+    folder = folder or staging_folder(tables.outclaims.sparkSession)
+    reports = {name: build_report(tables, config, f"{folder}/{name}") for name, config in scenarios.items()}
 
     def stacked(part: str) -> DataFrame:
         frames = [getattr(r, part).select(F.lit(name).alias("scenario"), "*") for name, r in reports.items()]

@@ -27,13 +27,19 @@ MEASURES = [*ADMITS, *LONG_STAYS, *ALL_CAUSE_READMITS, *FACILITIES, *FLAGGED_REA
 
 
 def snf_metrics(
-    tables: ClaimTables, cohort: Cohort, consolidate: bool = False, measures: list[Measure] | None = None
+    tables: ClaimTables,
+    cohort: Cohort,
+    consolidate: bool = False,
+    measures: list[Measure] = MEASURES,
+    adjusted: bool = True,
 ) -> DataFrame:
-    """All skilled-nursing measures, or the ones given, from one pass over the stays."""
-    measures = measures or MEASURES
+    """All skilled-nursing measures, or the ones given, from one pass over the stays.
+
+    ``adjusted`` adds the risk-adjusted admits, for which the measures have to include the plain ones.
+    """
     rows = facility_rows(tables, cohort, measures)
     parts = [unadjusted(rows, consolidate)]
-    if measures is MEASURES:
+    if adjusted:
         parts.append(adjusted_admits(tables, cohort, rows, consolidate))
     return stack(parts)
 

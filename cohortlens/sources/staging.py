@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,20 +10,19 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """A new folder for one run, below the checkpoint folder the session names.
-
-    Only a local-mode session without that setting gets a temporary folder: on a cluster such a folder
-    would be visible to one machine.
-    """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    """A new folder for one run, below the checkpoint folder that the session names."""
+    root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="cohortlens-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach, or name a folder")
     return f"{root.rstrip('/')}/cohortlens-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a run's folder, wherever Spark's file systems have it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(frame: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``frame`` to ``folder/name`` and read it back.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Column types by table. ``None`` keeps the type found in the file: identifiers may be strings or numbers.
@@ -117,11 +117,23 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def conform(frame: DataFrame, name: str) -> DataFrame:
+    """The declared columns in their declared types; a number that its type would change is an error with its name."""
     declared = COLUMNS[name]
     missing = sorted(set(declared) - set(frame.columns))
     if missing:
         raise ValueError(f"table {name} lacks the columns {', '.join(missing)}")
-    columns = [F.col(c).cast(kind).alias(c) if kind else F.col(c) for c, kind in declared.items()]
+    found = dict(frame.dtypes)
+    columns = [as_declared(name, c, found[c], kind).alias(c) if kind else F.col(c) for c, kind in declared.items()]
     if name == "decor_case":
         columns += [F.col(c).cast("double").alias(c) for c in frame.columns if c.startswith(NYU_PREFIX)]
     return frame.select(*columns)
+
+
+def as_declared(table: str, column: str, found: str, kind: str) -> Column:
+    """A cast; where it can round (whole numbers and money), it is checked by casting back."""
+    given, cast = F.col(column), F.col(column).cast(kind)
+    if found == kind or not (kind == "int" or kind.startswith("decimal")):
+        return cast
+    held = F.col(column).try_cast(kind)
+    message = F.concat(F.lit(f"{table}.{column} holds "), given.cast("string"), F.lit(f", which {kind} would change"))
+    return F.when(given.isNull() | (held.cast(found) == given), held).otherwise(F.raise_error(message).cast(kind))

@@ -1,5 +1,6 @@
 import csv
 import glob
+import os
 from dataclasses import fields
 from types import SimpleNamespace
 
@@ -99,9 +100,9 @@ def test_family_files_make_up_the_metrics(spark, written):
     assert set(rows_of(eol_rolled)) <= set(rows_of(rolled))
 
 
-def test_the_clean_rollup_leaves_out_what_does_not_add_up(spark, folder):
+def test_the_clean_rollup_leaves_out_what_does_not_add_up(spark, folder, tmp_path):
     config = ReportConfig(assignment=Assignment.CURRENT, additive_rollup_only=True, consolidate_usage=True)
-    metrics = build_report(read_claim_tables(spark, folder), config).metrics
+    metrics = build_report(read_claim_tables(spark, folder), config, str(tmp_path)).metrics
     rolled = {r["metric_id"] for r in metrics.where("elig_status = 'Non-ESRD'").collect()}
     assert "memmos_sum" in rolled
     assert not rolled & {"riskscr_1_avg", "distinct_SNFs", "cnt_assigned_mems"}
@@ -123,10 +124,33 @@ def test_consolidated_usage_is_the_sum_over_benefit_types(spark):
 
 def session_like(master: str, checkpoint_dir: str | None):
     conf = SimpleNamespace(get=lambda key, default=None: checkpoint_dir or default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
 def test_staging_needs_a_shared_folder():
     assert staging_folder(session_like("yarn", "/shared/x/")).startswith("/shared/x/cohortlens-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging_folder(session_like("yarn", None))
+    for master in ("yarn", "local[8]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging_folder(session_like(master, None))
+
+
+def test_a_written_report_leaves_its_tables_and_nothing_else(written):
+    path, _ = written
+    parts = ("metrics", "pac_drg_summary", "betos_summary", "truncation_summary")
+    families = ("basic", "inpatient", "outpatient", "snf", "er", "pac", "mr_line", "eol")
+    expected = {f"{p}{kind}" for p in parts for kind in (".parquet", ".txt")} | {f"{f}_metrics.parquet" for f in families}
+    assert set(os.listdir(path)) == expected | {"member_months.parquet"}
+
+
+@pytest.mark.parametrize(("column", "value"), [("prm_util", 1.5), ("prm_costs", 1.23456), ("prm_admits", 3e10)])
+def test_numbers_that_a_type_would_change_are_errors(spark, folder, tmp_path, column, value):
+    claims = spark.read.parquet(f"{folder}/outclaims.parquet").withColumn(column, F.lit(value))
+    claims.limit(5).write.parquet(f"{tmp_path}/outclaims.parquet")
+    with pytest.raises(Exception, match=f"outclaims.{column} holds"):
+        read_table(spark, str(tmp_path), "outclaims").select(column).collect()
+
+
+def test_whole_numbers_in_doubles_are_read_as_they_are(spark, folder, tmp_path):
+    claims = spark.read.parquet(f"{folder}/outclaims.parquet")
+    claims.withColumn("prm_util", F.col("prm_util").cast("double")).write.parquet(f"{tmp_path}/outclaims.parquet")
+    assert rows_of(read_table(spark, str(tmp_path), "outclaims").select("prm_util")) == rows_of(claims.select("prm_util"))
