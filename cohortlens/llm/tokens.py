@@ -40,7 +40,7 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words; those short enough are remembered."""
