@@ -578,8 +578,19 @@ def rollup_sql(source: str) -> str:
     """
 
 
-def report_sql(client: str, label: str) -> str:
-    stacked = union("SELECT * FROM rolled", rollup_sql("rolled"), family("eol"))
+def consolidated_sql(name: str) -> str:
+    return f"""
+        SELECT elig_status, metric_id, CAST(sum(CAST(metric_value AS DECIMAL(28,8))) AS DOUBLE) AS metric_value
+        FROM ({family(name)}) s GROUP BY elig_status, metric_id
+    """
+
+
+ADDITIVE = "(SELECT * FROM rolled WHERE metric_id NOT IN ('riskscr_1_avg', 'distinct_SNFs', 'cnt_assigned_mems'))"
+
+
+def report_sql(client: str, label: str, summed: str = "rolled") -> str:
+    """``summed`` is what the Non-ESRD rows add up."""
+    stacked = union("SELECT * FROM rolled", rollup_sql(summed), family("eol"))
     return f"""
         SELECT '{client}' AS name_client, '{label}' AS time_period, elig_status, '' AS metric_category, metric_id,
           '' AS metric_name, metric_value,

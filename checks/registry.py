@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -278,6 +278,8 @@ FAMILY_PLANS: dict[str, Plan] = {
 }
 for family_name, family_plan in FAMILY_PLANS.items():
     register(f"{family_name}_metrics", family_plan, oracle.family(family_name))
+register("snf_metrics_consolidated", lambda t, c: snf.snf_metrics(t, c, True), oracle.consolidated_sql("snf"))
+register("er_metrics_consolidated", lambda t, c: er.er_metrics(t, c, True), oracle.consolidated_sql("er"))
 # End-of-life measures follow a cohort that is narrowed to the year to date.
 register("eol_metrics_year_to_date", eol.eol_metrics, oracle.family("eol"), YTD, **YTD_CTES)
 
@@ -313,10 +315,20 @@ def run_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="cohortlens-")
 
 
-REGISTRY["metrics_report"] = Query(
-    lambda spark, sf_dir: report.build_report(domain_tables(spark, sf_dir), CURRENT, run_folder(spark)).metrics,
-    oracle.full(oracle.report_sql(CLIENT, LABEL)),
+def report_metrics(config: ReportConfig) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: report.build_report(domain_tables(spark, sf_dir), config, run_folder(spark)).metrics
+
+
+REGISTRY["metrics_report"] = Query(report_metrics(CURRENT), oracle.full(oracle.report_sql(CLIENT, LABEL)))
+REGISTRY["metrics_report_additive"] = Query(
+    report_metrics(replace(CURRENT, additive_rollup_only=True)),
+    oracle.full(oracle.report_sql(CLIENT, LABEL, oracle.ADDITIVE)),
 )
+for mode in (Assignment.JULY_FIRST, Assignment.DURING_PERIOD):
+    REGISTRY[f"metrics_report_{mode.value}"] = Query(
+        report_metrics(replace(CURRENT, assignment=mode)),
+        oracle.full(oracle.report_sql(CLIENT, LABEL), member_months=oracle.member_months_sql(mode.value)),
+    )
 
 SCENARIOS = {
     "year_to_date": ReportConfig(CLIENT, 6, year_to_date=True, assignment=Assignment.CURRENT),
