@@ -8,7 +8,6 @@ literal rows.
 
 from __future__ import annotations
 
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,11 +78,7 @@ PLAIN = {
           CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) % 30 AS prm_todate_case,
           CAST(l_shipdate AS DATE) + CAST(l_partkey % 150 AS INT) AS paiddate,
           CAST(l_shipdate AS DATE) + 90 AS pac_episode_end_date,
-          CASE l_partkey % 24 WHEN 0 THEN 'I11a' WHEN 1 THEN 'I11b' WHEN 2 THEN 'I12' WHEN 3 THEN 'I13a'
-            WHEN 4 THEN 'I31' WHEN 5 THEN 'I31' WHEN 6 THEN 'O11a' WHEN 7 THEN 'O11b' WHEN 8 THEN 'O10'
-            WHEN 9 THEN 'O12a' WHEN 10 THEN 'O12b' WHEN 11 THEN 'O14a' WHEN 12 THEN 'O16a' WHEN 13 THEN 'P21a'
-            WHEN 14 THEN 'P32c' WHEN 15 THEN 'P32d' WHEN 16 THEN 'P33' WHEN 17 THEN 'P34' WHEN 18 THEN 'P57'
-            WHEN 19 THEN 'P59' WHEN 20 THEN 'P82d' WHEN 21 THEN 'P82e' WHEN 22 THEN 'P99' ELSE 'P32a' END AS prm_line,
+          {line_code} AS prm_line,
           CASE WHEN l_partkey % 24 < 4 THEN 'i1' ELSE 'other' END AS prm_line_agg,
           p_type AS prm_betos_code, CAST(p_size AS STRING) AS prm_drg,
           CASE l_suppkey % 12 WHEN 0 THEN 'G0402' WHEN 1 THEN 'G0438' WHEN 2 THEN 'G0439' WHEN 3 THEN 'G0468' ELSE '99213' END AS hcpcs,
@@ -143,13 +138,24 @@ PLAIN = {
     """,
 }
 
-_LINE_CASE = PLAIN["outclaims"][PLAIN["outclaims"].index("CASE l_partkey % 24") : PLAIN["outclaims"].index(" AS prm_line,")]
-_LINE_CODES = re.findall(r"'(\w+)'", _LINE_CASE)
+_OUTCLAIMS = PLAIN["outclaims"]
+PLAIN["outclaims"] = _OUTCLAIMS.format(
+    line_code="""
+          CASE l_partkey % 24 WHEN 0 THEN 'I11a' WHEN 1 THEN 'I11b' WHEN 2 THEN 'I12' WHEN 3 THEN 'I13a'
+            WHEN 4 THEN 'I31' WHEN 5 THEN 'I31' WHEN 6 THEN 'O11a' WHEN 7 THEN 'O11b' WHEN 8 THEN 'O10'
+            WHEN 9 THEN 'O12a' WHEN 10 THEN 'O12b' WHEN 11 THEN 'O14a' WHEN 12 THEN 'O16a' WHEN 13 THEN 'P21a'
+            WHEN 14 THEN 'P32c' WHEN 15 THEN 'P32d' WHEN 16 THEN 'P33' WHEN 17 THEN 'P34' WHEN 18 THEN 'P57'
+            WHEN 19 THEN 'P59' WHEN 20 THEN 'P82d' WHEN 21 THEN 'P82e' WHEN 22 THEN 'P99' ELSE 'P32a' END"""
+)
 
 SPARK_ONLY = {
     # The line code by position: filters on it would otherwise repeat the 24-way CASE.
-    "outclaims": PLAIN["outclaims"].replace(
-        _LINE_CASE, f"element_at(array({str(_LINE_CODES)[1:-1]}), CAST(l_partkey % 24 AS INT) + 1)"
+    "outclaims": _OUTCLAIMS.format(
+        line_code="""
+          element_at(array(
+            'I11a', 'I11b', 'I12', 'I13a', 'I31', 'I31', 'O11a', 'O11b', 'O10', 'O12a', 'O12b', 'O14a',
+            'O16a', 'P21a', 'P32c', 'P32d', 'P33', 'P34', 'P57', 'P59', 'P82d', 'P82e', 'P99', 'P32a'
+          ), CAST(l_partkey % 24 AS INT) + 1)"""
     ),
     "member_time_windows": """
         SELECT c_custkey AS member_id, elig_month,

@@ -9,7 +9,27 @@ from __future__ import annotations
 import re
 
 from checks.fixtures import PLAIN
-from cohortlens import config
+
+# --- Fixed values, written out here so that a wrong digit in the library shows -------------------------
+THRESHOLDS = {"Aged Non-Dual": 147189, "Aged Dual": 236991, "Disabled": 177548, "ESRD": 507077}
+WELLNESS_CODES = ("G0402", "G0438", "G0439", "G0468")
+PREFIXES = ("I", "I11", "P32", "O16", "P34", "P99", "P2", "P")
+BANDS = (
+    ("<0.50", -1.0, 0.499),
+    ("0.50-0.59", 0.5, 0.599),
+    ("0.60-0.69", 0.6, 0.699),
+    ("0.70-0.79", 0.7, 0.799),
+    ("0.80-0.89", 0.8, 0.899),
+    ("0.90-0.99", 0.9, 0.999),
+    ("1.00-1.09", 1.0, 1.099),
+    ("1.10-1.19", 1.1, 1.199),
+    ("1.20-1.34", 1.2, 1.349),
+    ("1.35-1.49", 1.35, 1.499),
+    ("1.50-1.74", 1.5, 1.749),
+    ("1.75-2.00", 1.75, 1.999),
+)
+OPEN_BAND = (2.0, 500.0)
+# --- End of fixed values ------------------------------------------------------------------------
 
 CTES: dict[str, str] = dict(PLAIN)
 
@@ -122,8 +142,8 @@ def average_risk_sql(digits: int) -> str:
 
 
 def _bound(side: int) -> str:
-    whens = " ".join(f"WHEN '{band}' THEN {bounds[side]}" for band, bounds in config.RISK_BANDS.items())
-    return f"CAST(CASE riskband {whens} ELSE {config.OPEN_RISK_BAND[side]} END AS DOUBLE)"
+    whens = " ".join(f"WHEN '{band}' THEN {bounds[side]}" for band, *bounds in BANDS)
+    return f"CAST(CASE riskband {whens} ELSE {OPEN_BAND[side]} END AS DOUBLE)"
 
 
 CTES["risk_3"] = average_risk_sql(3)
@@ -154,7 +174,7 @@ def strict(usage: str, risk: str, factor: str) -> str:
 FAMILIES: dict[str, dict[str, str]] = {}
 
 CTES["threshold"] = "SELECT * FROM (VALUES {}) AS t(elig_status, yearly)".format(
-    ", ".join(f"('{s}', {v})" for s, v in config.TRUNCATION_THRESHOLDS.items())
+    ", ".join(f"('{s}', {v})" for s, v in THRESHOLDS.items())
 )
 CTES["member_totals"] = """
     SELECT c.member_id, c.elig_status, c.costs, m.memmos,
@@ -165,7 +185,7 @@ CTES["member_totals"] = """
       ON c.member_id = m.member_id AND c.elig_status = m.elig_status
     LEFT JOIN threshold t ON t.elig_status = c.elig_status
 """
-_WELLNESS = ", ".join(f"'{code}'" for code in config.WELLNESS_HCPCS)
+_WELLNESS = ", ".join(f"'{code}'" for code in WELLNESS_CODES)
 CTES["wellness"] = f"""
     SELECT * FROM (
       SELECT m.member_id, m.elig_month, m.elig_status, o.prm_fromdate,
@@ -411,7 +431,7 @@ FAMILIES["lines"] = {
     "prefix_totals": union(
         *[
             metric("by_stay_date", f"'{prefix}_{name}'", total(column), f"prm_line LIKE '{prefix}%'")
-            for prefix in config.LINE_PREFIXES
+            for prefix in PREFIXES
             for name, column in _LINE_SUMS.items()
         ]
     ),
