@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -8,10 +9,15 @@ from cohortlens.llm import packing, token_matrices, tokens
 from tests.llm.corpus import corpus
 
 
-def plain_ids(text):
+@cache
+def plain_tokenizer():
     tokenizer = Tokenizer.from_file(tokens.TOKENIZER)
     tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    return tokenizer
+
+
+def plain_ids(text):
+    return plain_tokenizer().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def test_ids_are_the_tokenizers():
