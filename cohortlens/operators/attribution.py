@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
 from cohortlens.functions.dates import month_of
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.cohort import Cohort, bucketed_windows, period_bucket
 
 
 def _stay_start() -> Column:
@@ -72,13 +72,14 @@ def attribute(lines: DataFrame, cohort: Cohort, policy: AttributionPolicy) -> Da
         return matched.drop("_member", "_month", "date_start", "date_end")
 
     months = cohort.covered_months.select("member_id", F.col("elig_month").alias("claim_month"), "elig_status")
-    windows = cohort.windows.withColumnRenamed("member_id", "_member")
+    windows = bucketed_windows(cohort).withColumnsRenamed({"member_id": "_member", "bucket": "_bucket"})
     matched = lines.join(months, ["member_id", "claim_month"]).join(
         windows,
         (F.col("member_id") == F.col("_member"))
+        & (period_bucket(cohort, F.col("covered_date")) == F.col("_bucket"))
         & F.col("covered_date").between(F.col("date_start"), F.col("date_end")),
     )
-    return matched.drop("_member", "date_start", "date_end")
+    return matched.drop("_member", "_bucket", "date_start", "date_end")
 
 
 def daily_sums(

@@ -132,3 +132,23 @@ def coverage_calendar(cohort: Cohort) -> DataFrame:
     )
     months = cohort.covered_months.select("member_id", "elig_month", "elig_status")
     return by_month.join(months, ["member_id", "elig_month"])
+
+
+def period_bucket(cohort: Cohort, date: Column) -> Column:
+    """The month of a date in the period; the month before it for all earlier dates, the one after it for all later."""
+    return (
+        F.when(date < cohort.first_day, F.add_months(month_of(cohort.first_day), -1))
+        .when(date > cohort.last_day, F.add_months(month_of(cohort.last_day), 1))
+        .otherwise(month_of(date))
+    )
+
+
+def bucketed_windows(cohort: Cohort) -> DataFrame:
+    """Coverage windows, whole, once for each ``bucket`` of days that they touch.
+
+    A day is in one bucket, so it meets a window that holds it once. A window has at most two rows more than the
+    period has months, however long it is.
+    """
+    first, last = (period_bucket(cohort, F.col(c)) for c in ("date_start", "date_end"))
+    touched = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
+    return cohort.windows.where(F.col("date_start") <= F.col("date_end")).withColumn("bucket", F.explode(touched))

@@ -92,6 +92,30 @@ def test_policies_date_skilled_nursing_lines_differently(spark):
     assert lines(tables, BY_STAY_MONTH) == {3: 1}
 
 
+def test_days_outside_the_period_meet_the_windows_that_hold_them(spark):
+    stay = {"prm_line": "I31", "prm_fromdate_case": date(2020, 1, 20)}
+    tables = claim_tables(
+        spark,
+        members=[member(1), member(2)],
+        member_time_windows=[
+            window(1, JAN, date(9999, 12, 31)),
+            window(1, date(2010, 3, 5), date(2018, 6, 30)),
+            window(1, date(2018, 6, 30), date(2018, 7, 1)),
+            window(2, JAN, date(2020, 1, 31)),
+            window(2, date(2020, 1, 9), date(2020, 1, 8)),
+        ],
+        outclaims=[
+            claim(1, date(2035, 2, 5), claimid=1, **stay),
+            claim(1, date(2018, 6, 30), claimid=2, **stay),
+            claim(1, date(2018, 7, 2), claimid=3, **stay),
+            claim(1, date(2010, 3, 5), claimid=4, **stay),
+            claim(2, date(2035, 2, 5), claimid=5, **stay),
+            claim(2, date(2020, 1, 9), claimid=6, **stay),
+        ],
+    )
+    assert lines(tables, BY_STAY_MONTH) == {1: 1, 2: 2, 4: 1, 6: 1}
+
+
 def test_a_line_without_a_code_is_dated_by_itself(spark):
     tables = claim_tables(
         spark,

@@ -46,6 +46,14 @@ def test_families_share_their_scans_and_stay_in_the_jvm(spark, name):
         assert unwanted not in plan
 
 
+@pytest.mark.parametrize("name", ["basic_metrics", "pac_metrics", "attributed_claims_by_stay_month"])
+def test_no_join_tests_days_with_the_member_as_its_only_key(spark, name):
+    plan = REGISTRY[name].run(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    by_day = [line for line in plan.splitlines() if "Join [" in line and "covered_date" in line.split("], ", 2)[2]]
+    assert by_day
+    assert not [line for line in by_day if re.search(r"Join \[[^,\]]+\],", line)]
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
