@@ -45,7 +45,7 @@ MORE_PATTERNS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Matches whose group has ``least`` characters or more; fixed is False for kinds added to the base ones."""
+    """Matches whose group has ``least`` characters or more; ``base`` is False for kinds added to the base ones."""
 
     kind: str
     pattern: str
