@@ -19,6 +19,7 @@ from cohortlens.llm.common import SPACE_CLASS, same, text_key, whole_text
 
 MIN_WORDS = 25
 BLOCK = 100_000  # units compared with each other before they are shuffled, and sent to Spark at once
+LINE = re.compile(r"[^\n]+")
 # Up to a mark that ends a sentence before white space, or else to the end of the line.
 UNIT = re.compile(rf"[^\n]*?[.!?](?={SPACE_CLASS})|[^\n]+")
 
@@ -114,9 +115,12 @@ def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
     A null text is an empty one and loses nothing. No rows give no rows. Spans grow with the documents, so they are
     never broadcast: both sides are shuffled at every size.
     """
-    spans = removed_spans(docs, min_words).select(
-        F.col("doc_id").alias("of"), F.col("text_key").alias("of_text"), "n_removed", "removed"
-    )
+    return without(docs, removed_spans(docs, min_words))
+
+
+def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` less ``spans`` (doc_id, text_key, n_removed, removed)."""
+    spans = spans.select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text"), "n_removed", "removed")
     texts = docs.select("doc_id", whole_text().alias("text"), text_key().alias("key"))
     on = same(F.col("doc_id"), F.col("of")) & (F.col("key") == F.col("of_text"))
     joined = texts.join(spans.hint("merge"), on, "left")
@@ -133,3 +137,72 @@ def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
         .select("*", kept.alias("kept"))
         .select("doc_id", "n_removed", "removed", "kept", F.array_join(pieces, "").alias("text"))
     )
+
+
+def lines_of(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, digest) of each whole line with a word; no unit and no window has the digest of a line."""
+    for found in LINE.finditer(text):
+        if words := found[0].encode().lower().split():
+            yield found.start(), found.end(), hashlib.blake2b(b" ".join(words), digest_size=16, person=b"line").digest()
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """A row per occurrence of what goes wherever it is repeated: doc_id, text_key, start, end, digest."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "text_key", "start", "end", "digest"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            types = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            rows: list[tuple] = []
+            for doc_id, key, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))):
+                rows += [(doc_id, key, *found) for of in PARTS for found in of(text)]
+                if len(rows) >= BLOCK:
+                    yield record(rows, types)
+                    rows = []
+            if rows:
+                yield record(rows, types)
+
+    def record(rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    source = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
+    return source.mapInArrow(work, f"doc_id {kind}, text_key bigint, start bigint, `end` bigint, digest binary")
+
+
+def all_removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``removed_spans`` and all but the earliest of what ``occurrences`` finds; n_removed counts the merged spans.
+
+    An occurrence that overlaps the earliest in the same text stays with it.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "start", "end")
+    found = occurrences(docs).withColumn("place", place)
+    first = found.groupBy("digest").agg(F.min("place").alias("first"))
+    in_first = (
+        same(F.col("doc_id"), F.col("first.doc_id"))
+        & (F.col("text_key") == F.col("first.text_key"))
+        & (F.col("start") < F.col("first.end"))
+    )
+    again = found.join(first, "digest").where(~in_first).select("doc_id", "text_key", "start", "end")
+    runs = removed_spans(docs, min_words).select("doc_id", "text_key", F.inline("removed"))
+    document = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
+    before = document.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        again.unionByName(runs)
+        .distinct()
+        .withColumn("new", F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True)))
+        .withColumn("island", F.sum(F.col("new").cast("int")).over(document.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc_id", "text_key", "island")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy("doc_id", "text_key")
+        .agg(F.count(F.lit(1)).alias("n_removed"), F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    )
+
+
+def drop_all_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Like ``drop_repeated_passages``, but repeated whole lines of any length go too; n_removed counts spans."""
+    return without(docs, all_removed_spans(docs, min_words))
+
+
+PARTS = (lines_of,)
