@@ -14,12 +14,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from cohortlens.llm.common import SPACE_CLASS, same, text_key, whole_text
+from cohortlens.llm.common import SPACE_CLASS, WORD_CLASS, same, text_key, whole_text
 
 MIN_WORDS = 25
 BLOCK = 100_000  # units compared with each other before they are shuffled, and sent to Spark at once
 LINE = re.compile(r"[^\n]+")
+WORD = re.compile(WORD_CLASS + "+")
+BORDER_EVERY = 4  # words from one border of windows to the next, on average
 # Up to a mark that ends a sentence before white space, or else to the end of the line.
 UNIT = re.compile(rf"[^\n]*?[.!?](?={SPACE_CLASS})|[^\n]+")
 
@@ -146,6 +149,29 @@ def lines_of(text: str) -> Iterator[tuple[int, int, bytes]]:
             yield found.start(), found.end(), hashlib.blake2b(b" ".join(words), digest_size=16, person=b"line").digest()
 
 
+def windows_of(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, digest) from each border to the first border that is MIN_WORDS or more words later.
+
+    A border is after two words whose hash falls in a fixed residue, so windows depend on nothing but their own words
+    and the two before: a passage has the same ones wherever it starts.
+    """
+    data = [(m.start(), m.end(), m[0].encode().lower()) for m in WORD.finditer(text)]
+    borders = [
+        at + 2
+        for at in range(len(data) - 1)
+        if not xxh64_intdigest(data[at][2] + b" " + data[at + 1][2]) % BORDER_EVERY
+    ]
+    last = 0
+    for border in borders:
+        while last < len(borders) and borders[last] < border + MIN_WORDS:
+            last += 1
+        if last == len(borders):
+            return
+        words = [w for _, _, w in data[border : borders[last]]]
+        digest = hashlib.blake2b(b" ".join(words), digest_size=16, person=b"window").digest()
+        yield data[border][0], data[borders[last] - 1][1], digest
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """A row per occurrence of what goes wherever it is repeated: doc_id, text_key, start, end, digest."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -201,8 +227,9 @@ def all_removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def drop_all_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Like ``drop_repeated_passages``, but repeated whole lines of any length go too; n_removed counts spans."""
+    """Like ``drop_repeated_passages``, but more goes: repeated whole lines of any length, and passages that start or
+    end inside a sentence, but for a few words at their ends. n_removed counts spans."""
     return without(docs, all_removed_spans(docs, min_words))
 
 
-PARTS = (lines_of,)
+PARTS = (lines_of, windows_of)

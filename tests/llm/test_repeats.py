@@ -1,5 +1,7 @@
 """Repeats that runs of sentences with 25 words leave."""
 
+import random
+
 from cohortlens.llm import passages
 from tests.llm.corpus import prose
 
@@ -15,3 +17,22 @@ def test_short_repeated_lines_go_but_for_the_earliest(spark, no_docs):
     assert all(got[n]["text"] == dict(rows)[n].replace(LICENSE, "") and got[n]["n_removed"] == 1 for n in (2, 3, 4))
     assert got[9]["text"] == "word\n\n\n"
     assert passages.drop_all_repeats(docs).count() == len(rows) and passages.drop_all_repeats(no_docs).count() == 0
+
+
+def test_passages_inside_sentences_go_wherever_they_start(spark):
+    draw = random.Random(1)
+
+    def text(n):
+        return " ".join("".join(draw.choices("abcdefghij", k=5)) for _ in range(n))
+
+    passage = text(80)
+    rows = [(n, f"{text(20 + n)} {passage} {text(31 - n)}") for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in passages.drop_all_repeats(docs).collect()}
+    words = passage.split()
+    runs = {" ".join(words[i : i + 25]) for i in range(56)}
+    assert got[0] == rows[0][1]
+    for n in range(1, 6):
+        before, after = rows[n][1].split(passage)
+        assert got[n].startswith(before) and got[n].endswith(after) and not any(run in got[n] for run in runs)
+    assert passages.drop_repeated_passages(docs).where("n_removed > 0").count() == 0
