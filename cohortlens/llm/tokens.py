@@ -28,12 +28,15 @@ class Encoder:
 
     This tokenizer lower-cases, drops white space and never joins what it separates. Texts are cut at ASCII white
     space, the ids of words that come again are remembered, and new words of letters are encoded many at a time, apart
-    from the marks that follow them; the last id of each is one that ends a word. Strings of special tokens are ordinary text.
+    from the marks that follow them; the last id of each is one that ends a word. Strings of special tokens are ordinary text, or with ``special`` what the
+    tokenizer makes of them by default: texts that hold one are left to it.
     """
 
-    def __init__(self, path: str = TOKENIZER) -> None:
+    def __init__(self, path: str = TOKENIZER, special: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
+        self.special = [token.content.encode() for token in added if token.special]
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -42,6 +45,13 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def with_special(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return self.ids(text).tobytes()
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words; those short enough are remembered."""
         found, letters, stems = {}, {}, {}
@@ -74,11 +84,15 @@ class Encoder:
         """The ids of texts that are short enough to be taken together."""
         if len(self.known) > CACHED:
             self.known.clear()
-        block = [text.lower().split() for text in texts]
+        whole = {i for i, text in enumerate(texts) if any(token in text for token in self.special)}
+        block = [[] if i in whole else text.lower().split() for i, text in enumerate(texts)]
         parts = [list(map(self.known.get, words)) for words in block]
         new = {w for words, ids in zip(block, parts) if None in ids for w, known in zip(words, ids) if known is None}
         found = self.learn(new) if new else {}
-        for words, ids in zip(block, parts):
+        for i, (words, ids) in enumerate(zip(block, parts)):
+            if i in whole:
+                yield self.with_special(texts[i].decode())
+                continue
             if None in ids:
                 ids = [found[w] if known is None else known for w, known in zip(words, ids)]
             yield b"".join(ids)
@@ -90,7 +104,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str = TOKENIZER) -> Encoder:
     """One for each Python worker."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special=True)
     return _ENCODERS[path]
 
 
