@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import exact_dedup, mixing, packing, quality, similar
+from cohortlens.llm import exact_dedup, mixing, packing, quality, simhash
 from cohortlens.llm.common import documents, stage
 
 
@@ -22,8 +22,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
-    return similar.drop_near_copies(docs)
+    """One document of each component of fingerprints (three-word shingles) that link at two or fewer differing bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +39,11 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_copies),
-    ("near-dedup", near_copies),
+    ("SimHash near-dedup", near_copies),
     ("mixing sources", mixture),
     ("best-fit packing", sequences),
 ]
-# MinHash bands and token ids are beyond SQL; tests/llm/test_pipeline.py and test_similar.py hold stages against plain versions.
+# Fingerprints and token ids are beyond SQL; tests/llm/test_pipeline.py holds the stages and the run against plain versions.
 ORACLE_SQL = None
 
 
