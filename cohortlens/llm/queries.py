@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import chat, exact_dedup, language_id, mixing, packing, passages, quality, secrets, simhash, token_matrices
+from cohortlens.llm import (
+    chat,
+    exact_dedup,
+    hard_negatives,
+    language_id,
+    mixing,
+    packing,
+    passages,
+    quality,
+    secrets,
+    simhash,
+    token_matrices,
+    topk_search,
+)
 from cohortlens.llm.common import documents
+from cohortlens.llm.vectors import embeddings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -273,3 +287,63 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learned(docs)).select(
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    return hard_negatives.hard_negatives(
+        embeddings(spark, sf_dir),
+        F.col("vec_id") % 50 == 0,
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
+WHOLE_VECTORS = r"""
+rows AS (
+    SELECT *, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+"""
+
+SQL["op11_hard_negatives"] = f"""
+WITH {WHOLE_VECTORS},
+labelled AS (
+    SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM rows WHERE label IS NOT NULL
+),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM labelled a JOIN labelled b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 50 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 3
+"""
+
+
+@query
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_products(embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
+
+
+SQL["op12_top_products"] = f"""
+WITH {WHOLE_VECTORS},
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM rows q JOIN rows c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score
+FROM pairs
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
