@@ -164,7 +164,7 @@ def windows(found: DataFrame, kept: DataFrame, k: int) -> DataFrame:
 
 def hard_negatives(
     table: DataFrame,
-    is_anchor: Column,
+    is_anchor: Column | str,
     label: Column | str = "label",
     positives_wanted: int = POSITIVES,
     negatives_wanted: int = NEGATIVES,

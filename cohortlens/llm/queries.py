@@ -15,6 +15,7 @@ from cohortlens.llm import (
     mixing,
     packing,
     passages,
+    periodic,
     quality,
     secrets,
     simhash,
@@ -347,3 +348,8 @@ FROM pairs
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 5
 """
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(documents(spark, sf_dir), planted=True)

@@ -182,7 +182,7 @@ def with_bounds(queries: DataFrame, rows: DataFrame, k: int, seeds: int) -> Data
 
 def top_products(
     table: DataFrame,
-    is_query: Column,
+    is_query: Column | str,
     k: int = TOP,
     block_bytes: int = BLOCK_BYTES,
     seeds: int = SEEDS,

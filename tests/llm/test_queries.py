@@ -68,7 +68,7 @@ def test_packed_pieces_are_the_documents(spark, texts):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_the_pipeline_runs_through(spark):
