@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import stage, whole_text
 
 PART_TURNS = 256  # turns of a conversation rendered in a row
+BORDER_CHARACTERS = 64
 HASHES = ("h0", "h1", "h2", "h3")
 
 
@@ -33,12 +34,16 @@ def turn_hashes() -> list[Column]:
 def prefixes(turns: DataFrame) -> DataFrame:
     """The turns with n (turns up to here) and the sums of the hashes of the prefix that ends with each.
 
-    Turns are range-sorted by conversation and turn. Running sums within a conversation's share of a partition and the
-    sums of its shares before give the prefix, so a conversation with a third of all turns is many tasks' work.
+    Turns are range-sorted by conversation, number, role and text, nulls last. Running sums within a conversation's share
+    of a partition and the sums of its shares before give the prefix, so a conversation with a third of all turns is many
+    tasks' work.
     """
-    order = [F.col("turn").isNull(), F.col("turn"), *[F.col(h) for h in HASHES]]
+    numbered = [F.asc_nulls_last("turn"), F.asc_nulls_last("role")]
     hashed = turns.select("conv_id", "turn", "role", "text", *turn_hashes())
-    ranged = hashed.repartitionByRange("conv_id", *order)
+    # borders of partitions need no more of a text than this; turns that agree in it stay together
+    start = F.substring("text", 1, BORDER_CHARACTERS)
+    ranged = hashed.repartitionByRange("conv_id", *numbered, start.asc_nulls_last())
+    order = [*numbered, F.asc_nulls_last("text")]
     ranged = stage(ranged.select("*", F.spark_partition_id().alias("part")), "turns")
     sums = [F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(h) for h in HASHES]]
     shares = ranged.groupBy("conv_id", "part").agg(*sums)
@@ -78,7 +83,7 @@ def format_chats(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """Rows of conv_id, part (from 0), turns (of the conversation), copies (equal logs), text, for maximal conversations.
 
     A conversation is rendered in parts of ``part_turns`` turns, so that a very long one is many rows. Turns are in the
-    order of their number (null last; ties by content). A null role is "unknown", a null text empty. A null conv_id is
+    order of their number, then role, then text, nulls last. A null role is "unknown", a null text empty. A null conv_id is
     one conversation. Repeated rows are turns like any other. No rows give no rows.
     """
     rolled = stage(prefixes(turns), "rolled")

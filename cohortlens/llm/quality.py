@@ -1,8 +1,8 @@
 """Quality rules with host-level verdicts, in DataFrame functions only.
 
-Each document is tried by row rules. Failures are added up by host (sums before the shuffle), each host's rate is
-shrunk towards the others with a beta prior that is fitted to all hosts' rates by their mean and variance, and
-documents of hosts whose shrunk rate is too high are rejected with them.
+Each document is tried by row rules. Failures of each rule are added up by host (sums before the shuffle), and each
+host's rate is shrunk towards that of all documents with a beta prior fitted to all hosts. A host whose shrunk rate is too
+high for one rule or more is rejected, and its documents with it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 MAX_SYMBOL_PERCENT = 10  # symbols per word
-# A host goes when the shrunk share of its documents that fail a rule is above this.
+# A host goes when the shrunk share of its documents that fail one of the rules is above this.
 MAX_HOST_RATE = 0.5
 # A fitted prior weighs as many documents as this at most and at least.
 PRIOR_WEIGHT = (1.0, 1000.0)
@@ -85,27 +85,48 @@ def rule_failures() -> dict[str, Column]:
     }
 
 
+def prior_weight(hosts: int, docs: int, squares: float, failed: int, spread: float) -> float:
+    """alpha + beta of a rule's prior, from sums over all hosts: hosts, docs, docs ** 2, failed and failed ** 2 / docs.
+
+    Rates of hosts differ by chance alone, most of all where hosts are small. What they differ beyond that, weighted by
+    documents, is the correlation within hosts, and 1 / correlation - 1 the weight, within PRIOR_WEIGHT. Where it cannot
+    be told (one document in each host, one host, a rule that all or none fail) or is none, the weight is the upper end.
+    """
+    least, most = PRIOR_WEIGHT
+    mean = failed / docs if docs else 0.0
+    beyond = docs - hosts - squares / docs + 1 if docs else 0.0
+    if beyond <= 0 or not 0 < mean < 1:
+        return most
+    by_chance = hosts - 1
+    correlation = ((spread - docs * mean * mean) / (mean * (1 - mean)) - by_chance) / beyond
+    return min(max(1 / correlation - 1, least), most) if correlation > 0 else most
+
+
 def host_rates(rows: DataFrame) -> DataFrame:
-    """Per host: docs, failures by rule, failed (documents that fail any), and shrunk_rate under the fitted prior.
+    """Per host: docs, failures by rule, and shrunk_rate, the greatest of the rules' rates shrunk under their priors.
 
-    The prior comes from one row of moments over all hosts. Its weight (alpha + beta) is mean (1 - mean) / variance - 1
-    of the hosts' rates, within PRIOR_WEIGHT; where all rates agree it is the upper end.
+    The priors come from one row of sums over all hosts.
     """
     rules = rule_failures()
-    failed = None
-    for rule in rules.values():
-        failed = rule if failed is None else failed | rule
     hosts = rows.groupBy("host").agg(
-        F.count(F.lit(1)).alias("docs"),
-        F.count_if(failed).alias("failed"),
-        *[F.count_if(rule).alias(name) for name, rule in rules.items()],
+        F.count(F.lit(1)).alias("docs"), *[F.count_if(rule).alias(name) for name, rule in rules.items()]
     )
     hosts = stage(hosts, "hosts")
-    mean, variance = hosts.agg(F.sum("failed") / F.sum("docs"), F.var_pop(F.col("failed") / F.col("docs"))).first()
-    mean, variance = mean or 0.0, variance or 0.0
-    least, most = PRIOR_WEIGHT
-    weight = min(max(mean * (1 - mean) / variance - 1, least), most) if variance else most
-    return hosts.withColumn("shrunk_rate", (F.col("failed") + mean * weight) / (F.col("docs") + weight))
+    docs = F.col("docs")
+    sums = hosts.agg(
+        F.count(F.lit(1)).alias("hosts"),
+        F.sum(docs).alias("docs"),
+        F.sum(docs.cast("double") * docs).alias("squares"),
+        *[F.sum(name).alias(name) for name in rules],
+        *[F.sum(F.col(name).cast("double") * F.col(name) / docs).alias(f"{name}_spread") for name in rules],
+    ).first()
+    shrunk = []
+    for name in rules:
+        all_docs, failed = sums["docs"] or 0, sums[name] or 0
+        weight = prior_weight(sums["hosts"], all_docs, sums["squares"] or 0.0, failed, sums[f"{name}_spread"] or 0.0)
+        mean = failed / all_docs if all_docs else 0.0
+        shrunk.append((F.col(name) + mean * weight) / (docs + weight))
+    return hosts.withColumn("shrunk_rate", F.greatest(*shrunk))
 
 
 def judged(rows: DataFrame) -> DataFrame:
@@ -127,6 +148,7 @@ def judged(rows: DataFrame) -> DataFrame:
 def quality_verdicts(docs: DataFrame, host: str = "source") -> DataFrame:
     """A row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
+    A document is kept if it passes the base rules and its host's shrunk rates are within MAX_HOST_RATE for every rule.
     A null or empty text has no words and fails. Null hosts are one host. No rows give no rows.
     """
     return judged(docs.select("doc_id", "text", F.col(host).alias("host"))).select(

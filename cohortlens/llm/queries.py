@@ -98,23 +98,37 @@ m AS (
     FROM w LEFT JOIN covered USING (doc_id)
 ),
 f AS (
-    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-           base_failed OR 100 * n_symbols > 10 * n_words AS failed
+    SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repetitive,
+           100 * n_symbols > 10 * n_words AS symbols
     FROM m
 ),
 hosts AS (
-    SELECT source, count(*) AS docs, count(*) FILTER (failed) AS failed FROM f GROUP BY source
+    SELECT source, rule, count(*) AS docs, count(*) FILTER (failed) AS failed
+    FROM (UNPIVOT f ON short, repetitive, symbols INTO NAME rule VALUE failed)
+    GROUP BY source, rule
+),
+sums AS (
+    SELECT rule, sum(failed) / sum(docs) AS mean, sum(failed::DOUBLE * failed / docs) AS spread, sum(docs) AS all_docs,
+           count(*) - 1 AS by_chance, sum(docs) - count(*) - sum(docs::DOUBLE * docs) / sum(docs) + 1 AS beyond
+    FROM hosts GROUP BY rule
 ),
 prior AS (
-    SELECT sum(failed) / sum(docs) AS mean, var_pop(failed / docs) AS variance,
-           CASE WHEN var_pop(failed / docs) > 0
-                THEN least(greatest(sum(failed) / sum(docs) * (1 - sum(failed) / sum(docs)) / var_pop(failed / docs) - 1, 1), 1000)
-                ELSE 1000 END AS weight
-    FROM hosts
+    SELECT rule, mean,
+           CASE WHEN beyond > 0 AND mean > 0 AND mean < 1
+                THEN ((spread - all_docs * mean * mean) / (mean * (1 - mean)) - by_chance) / beyond ELSE 0 END AS correlation
+    FROM sums
+),
+weighed AS (
+    SELECT rule, mean,
+           CASE WHEN correlation > 0 THEN least(greatest(1 / correlation - 1, 1), 1000) ELSE 1000 END AS weight
+    FROM prior
+),
+rejected AS (
+    SELECT DISTINCT source FROM hosts JOIN weighed USING (rule) WHERE (failed + mean * weight) / (docs + weight) > 0.5
 )
-SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (hosts.failed + mean * weight) / (hosts.docs + weight) <= 0.5 AS kept
-FROM f JOIN hosts ON f.source IS NOT DISTINCT FROM hosts.source, prior
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repetitive AS base_failed,
+       NOT (short OR repetitive) AND NOT EXISTS (SELECT 1 FROM rejected r WHERE r.source IS NOT DISTINCT FROM f.source) AS kept
+FROM f
 """
 
 

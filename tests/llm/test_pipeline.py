@@ -28,19 +28,30 @@ def text_key(text):
     return key - (1 << 64) if key >> 63 else key
 
 
+def plain_prior(hosts):
+    """Mean and weight from (docs, failed) of each host: the beta-binomial's correlation within hosts, by moments."""
+    docs, failed = sum(n for n, _ in hosts), sum(f for _, f in hosts)
+    mean = failed / docs
+    between = sum(n * (f / n - mean) ** 2 for n, f in hosts)
+    beyond = sum((1 - n / docs) * (n - 1) for n, _ in hosts)
+    if beyond < 1e-9 or mean in (0, 1):
+        return mean, 1000
+    correlation = (between / (mean * (1 - mean)) - sum(1 - n / docs for n, _ in hosts)) / beyond
+    return mean, min(max(1 / correlation - 1, 1), 1000) if correlation > 0 else 1000
+
+
 def plain_quality(rows):
-    base, failed = {}, {}
-    hosts = defaultdict(list)
+    base, hosts = {}, defaultdict(list)
     for i, (_, text, source, _) in enumerate(rows):
         n, _, symbols, _, repeat = plain_measures(text)
-        base[i] = n < 50 or 100 * repeat > 50 * n
-        failed[i] = base[i] or 100 * symbols > 10 * n
-        hosts[source].append(failed[i])
-    rates = [sum(f) / len(f) for f in hosts.values()]
-    mean = sum(map(sum, hosts.values())) / len(rows)
-    variance = sum((r - sum(rates) / len(rates)) ** 2 for r in rates) / len(rates)
-    weight = min(max(mean * (1 - mean) / variance - 1, 1), 1000) if variance else 1000
-    bad = {s for s, f in hosts.items() if (sum(f) + mean * weight) / (len(f) + weight) > 0.5}
+        failures = n < 50, 100 * repeat > 50 * n, 100 * symbols > 10 * n
+        base[i] = any(failures[:2])
+        hosts[source].append(failures)
+    bad = set()
+    for rule in range(3):
+        counts = {s: (len(f), sum(x[rule] for x in f)) for s, f in hosts.items()}
+        mean, weight = plain_prior(counts.values())
+        bad |= {s for s, (n, f) in counts.items() if (f + mean * weight) / (n + weight) > 0.5}
     return [r for i, r in enumerate(rows) if not base[i] and r[2] not in bad]
 
 

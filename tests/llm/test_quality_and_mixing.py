@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from cohortlens.llm import mixing, quality
@@ -35,6 +36,32 @@ def test_a_host_that_mostly_fails_takes_its_documents_along(spark, no_docs):
     assert quality.passing_documents(no_docs).count() == 0
 
 
+def moments(hosts):
+    return len(hosts), sum(n for n, _ in hosts), sum(n * n for n, _ in hosts), sum(f for _, f in hosts), sum(f * f / n for n, f in hosts)
+
+
+def test_chance_alone_is_no_difference_between_hosts():
+    rng = np.random.default_rng(4)
+    singles = [(1, int(f)) for f in rng.random(1000) < 0.3]
+    assert quality.prior_weight(*moments(singles)) == 1000  # plain variance of rates would leave hardly any shrinkage
+    alike = [(n, int(rng.binomial(n, 0.3))) for n in rng.integers(1, 40, 2000).tolist()]
+    assert quality.prior_weight(*moments(alike)) > 100
+    for weight in (3, 12, 50):  # rates drawn from a beta prior of this weight, most hosts with one or two documents
+        sizes = np.where(rng.random(40_000) < 0.9, rng.integers(1, 3, 40_000), rng.integers(20, 200, 40_000)).tolist()
+        hosts = [(n, int(rng.binomial(n, p))) for n, p in zip(sizes, rng.beta(0.3 * weight, 0.7 * weight, len(sizes)))]
+        assert 0.8 * weight < quality.prior_weight(*moments(hosts)) < 1.25 * weight
+    assert {quality.prior_weight(*m) for m in ((0, 0, 0, 0, 0), (1, 9, 81, 3, 1), (2, 4, 8, 0, 0), (2, 4, 8, 4, 4))} == {1000}
+    assert quality.prior_weight(*moments([(100, 100), (100, 0)])) == 1
+
+
+def test_small_hosts_are_not_rejected_by_chance(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, good if i % 3 else "short", f"host{i}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = {r["doc_id"] for r in quality.quality_verdicts(docs).where("kept").collect()}
+    assert kept == {i for i in range(1000) if i % 3}
+
+
 def test_the_quality_stage_returns_the_given_columns(docs, spark):
     good = " ".join(f"w{i}" for i in range(60))
     more = spark.createDataFrame([(i, good, None, f"g{i % 5}", 0, "k", 0, "r", "k") for i in range(100, 140)], docs.schema)

@@ -1,9 +1,12 @@
 import re
 import zlib
 
+import duckdb
 import numpy as np
 
+from checks.compare import differences
 from cohortlens.llm import chat, language_id, passages, secrets
+from cohortlens.llm.queries import SQL
 from tests.llm.corpus import corpus, prose
 
 KEY = "AKIA" + "Q" * 17
@@ -74,6 +77,27 @@ def test_snapshots_collapse_into_the_longest_log(spark):
     assert chat.format_chats(chats(spark, [])).count() == 0
 
 
+def test_turns_that_tie_are_in_order_of_role_and_text(spark, tmp_path):
+    tied = [(1, 1, "user", t) for t in "bca"] + [(1, 1, None, "a"), (1, 1, "assistant", None), (1, 1, "assistant", "z")]
+    tied += [(2, 1, "user", t) for t in "ba"] + [(2, None, "user", "last"), (2, 2, None, None), (2, 2, None, "x" * 99)]
+    tied += [(3, 1, "user", t) for t in "ab"] + [(4, 1, "user", "same")] * 3 + [(None, 1, "user", t) for t in "dc"]
+    tied += [(6, 1, "user", "y" * 80 + t) for t in "cab"] + [(6, 1, "user", "é"), (6, 1, "user", "z")]
+    frame = chats(spark, tied)
+    got = chat.format_chats(frame)
+    texts = {r["conv_id"]: r["text"] for r in got.collect()}
+    assert texts[1] == "".join(
+        f"<|{role}|>\n{text}\n"
+        for role, text in [("assistant", "z"), ("assistant", ""), ("user", "a"), ("user", "b"), ("user", "c"), ("unknown", "a")]
+    )
+    assert set(texts) == {1, 2, 4, None, 6}  # 3 is a snapshot of 2
+    frame.write.parquet(f"{tmp_path}/conversations.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    expected = database.execute(SQL["op7_chat_snapshots"]).df()
+    # a join that takes a null conv_id for one is beyond the USING of the SQL
+    assert differences(got.where("conv_id is not null").toPandas(), expected[expected["conv_id"].notna()]) == ""
+
+
 def test_a_very_long_conversation_spans_partitions(spark):
     rows = [(1, i, "user", f"t{i}") for i in range(1500)] + [(2, i, "user", f"t{i}") for i in range(700)]
     rows += [(c, 0, "user", f"o{c}") for c in range(10, 500)]
