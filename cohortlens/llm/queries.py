@@ -210,7 +210,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias(spans)
 
     return passages.drop_repeated_passages(documents(spark, sf_dir)).select(
-        "doc_id", "n_removed", written("removed"), written("kept"), "text"
+        "doc_id", "n_removed", "n_lines", written("removed"), written("kept"), "text"
     )
 
 
@@ -222,39 +222,54 @@ WITH pieces AS (
     FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 ),
 placed AS (
-    SELECT doc_id, text, i, rtrim(part, chr(10)) AS line,
-           (sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) - length(part))::BIGINT AS start
+    SELECT doc_id, text, i, rtrim(part, chr(10)) AS piece,
+           (sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) - length(part))::BIGINT AS start,
+           count(*) FILTER (part LIKE '%' || chr(10)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS line
     FROM (SELECT doc_id, text, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS part FROM pieces)
 ),
 units AS (
-    SELECT doc_id, text, start, start + length(line) AS "end", row_number() OVER (PARTITION BY doc_id ORDER BY i) AS unit,
-           list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    SELECT doc_id, text, line, start, start + length(piece) AS "end", row_number() OVER (PARTITION BY doc_id ORDER BY i) AS unit,
+           list_filter(string_split_regex(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
-    FROM placed WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+    FROM placed WHERE regexp_matches(piece, '[^\x20\x09-\x0D]')
 ),
 repeats AS (
     SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run
     FROM (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, unit) AS nth FROM units)
     WHERE nth > 1
 ),
-runs AS (
-    SELECT doc_id, min(text) AS text, min(start) AS start, max("end") AS "end", count(*) AS units
-    FROM repeats GROUP BY doc_id, run HAVING sum(len(words)) >= 25
+sized AS (
+    SELECT *, sum(len(words)) OVER (PARTITION BY doc_id, run) >= 25 AS gone FROM repeats
+),
+lines AS (
+    SELECT doc_id, min(text) AS text, min(start) AS start, max("end") AS "end", min(unit) AS unit,
+           flatten(list(words ORDER BY unit)) AS words
+    FROM units GROUP BY doc_id, line
+),
+lines_again AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, unit) AS nth FROM lines) WHERE nth > 1
+),
+spans_gone AS (
+    SELECT doc_id, min(text) AS text, min(start) AS start, max("end") AS "end", count(*) AS units, 0 AS lines
+    FROM sized WHERE gone GROUP BY doc_id, run
+    UNION ALL
+    SELECT l.doc_id, l.text, l.start, l."end", 0, 1
+    FROM lines_again l JOIN sized s ON l.doc_id = s.doc_id AND l.unit = s.unit WHERE NOT gone
 ),
 removed AS (
-    SELECT doc_id, sum(units)::BIGINT AS n_removed, min(text) AS text,
+    SELECT doc_id, sum(units)::BIGINT AS n_removed, sum(lines)::BIGINT AS n_lines, min(text) AS text,
            list({'start': start, 'end': "end"} ORDER BY start) AS removed
-    FROM runs GROUP BY doc_id
+    FROM spans_gone GROUP BY doc_id
 ),
 spans AS (
-    SELECT doc_id, n_removed, removed, text,
+    SELECT doc_id, n_removed, n_lines, removed, text,
            list_filter(list_transform(range(1, len(removed) + 2), lambda i: {
                'start': CASE WHEN i = 1 THEN 0 ELSE removed[i - 1]['end'] END::BIGINT,
                'end': CASE WHEN i > len(removed) THEN length(text) ELSE removed[i]['start'] END::BIGINT
            }), lambda s: s['start'] < s['end']) AS kept
     FROM removed
 )
-SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed,
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(n_lines, 0) AS n_lines,
        coalesce(array_to_string(list_transform(removed, lambda k: concat(k['start'], '-', k['end'])), ','), '') AS removed,
        CASE WHEN s.doc_id IS NOT NULL
             THEN coalesce(array_to_string(list_transform(kept, lambda k: concat(k['start'], '-', k['end'])), ','), '')

@@ -7,7 +7,7 @@ import numpy as np
 from checks.compare import differences
 from cohortlens.llm import chat, language_id, passages, secrets
 from cohortlens.llm.queries import SQL
-from tests.llm.corpus import corpus, prose
+from tests.llm.corpus import prose
 
 KEY = "AKIA" + "Q" * 17
 TEXTS = [
@@ -147,6 +147,9 @@ def test_gradients_are_those_of_the_loss():
 
 
 def test_units_split_the_text():
-    text = "One. Two two!\nThree? four\n\n five"
-    assert [text[u[3] : u[4]] for u in passages.units_of(1, 2, text)] == ["One.", " Two two!", "Three?", " four", " five"]
-    assert corpus()
+    text = "One. Two two!\nThree? four\n\n five\nSix. \n"
+    kinds = {passages.PIECE: "piece", passages.LINE: "line", passages.PIECE | passages.LINE: "both"}
+    assert [(u, text[a:b], n, kinds[k]) for u, a, b, n, _, k in passages.units_of(text)] == [
+        (0, "One.", 1, "piece"), (1, " Two two!", 2, "piece"), (0, "One. Two two!", 3, "line"),
+        (2, "Three?", 1, "piece"), (3, " four", 1, "piece"), (2, "Three? four", 2, "line"), (4, " five", 1, "both"), (5, "Six.", 1, "both"),
+    ]
