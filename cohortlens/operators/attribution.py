@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
 from cohortlens.functions.dates import month_of
-from cohortlens.operators.cohort import Cohort, bucketed_windows, period_bucket
+from cohortlens.operators.cohort import Coverage, bucketed_spans, period_bucket
 
 
 def _stay_start() -> Column:
@@ -48,18 +48,19 @@ BY_STAY_DATE = AttributionPolicy("stay", "stay")
 BY_STAY_MONTH = AttributionPolicy("stay", "line")
 
 
-def in_cohort_months(claims: DataFrame, cohort: Cohort, policy: AttributionPolicy) -> DataFrame:
+def in_cohort_months(claims: DataFrame, cohort: Coverage, policy: AttributionPolicy) -> DataFrame:
     """Drop lines that cannot fall in a cohort month; written on raw columns so that it reaches the scan."""
     first, last = cohort.first_day, cohort.last_day
     line, case = (F.col(c).between(first, last) for c in ("prm_fromdate", "prm_fromdate_case"))
     return claims.where({"line": line, "case": case, "stay": line | case}[policy.month_by])
 
 
-def attribute(lines: DataFrame, cohort: Cohort, policy: AttributionPolicy) -> DataFrame:
+def attribute(lines: DataFrame, cohort: Coverage, policy: AttributionPolicy) -> DataFrame:
     """Match rows carrying ``claim_month`` and ``covered_date`` to the cohort.
 
-    Adds ``elig_status`` and ``copies``, the number of equal coverage windows that hold the date. Windows that
-    overlap without being equal give one row each.
+    Adds the cohort's ``status_columns`` and ``copies``, the times that the row counts: once for each coverage window
+    that holds the date, in each row that the member has of the month. A row meets one span of days, and one row of the
+    calendar for each of the statuses.
     """
     if policy.single_date:
         calendar = cohort.calendar.withColumnsRenamed({"member_id": "_member", "elig_month": "_month"})
@@ -71,19 +72,21 @@ def attribute(lines: DataFrame, cohort: Cohort, policy: AttributionPolicy) -> Da
         )
         return matched.drop("_member", "_month", "date_start", "date_end")
 
-    months = cohort.covered_months.select("member_id", F.col("elig_month").alias("claim_month"), "elig_status")
-    windows = bucketed_windows(cohort).withColumnsRenamed({"member_id": "_member", "bucket": "_bucket"})
+    months = cohort.status_months.withColumnsRenamed({"elig_month": "claim_month", "copies": "month_copies"})
+    spans = bucketed_spans(cohort).withColumnsRenamed({"member_id": "_member", "bucket": "_bucket"})
     matched = lines.join(months, ["member_id", "claim_month"]).join(
-        windows,
+        spans,
         (F.col("member_id") == F.col("_member"))
         & (period_bucket(cohort, F.col("covered_date")) == F.col("_bucket"))
         & F.col("covered_date").between(F.col("date_start"), F.col("date_end")),
     )
-    return matched.drop("_member", "_bucket", "date_start", "date_end")
+    return matched.withColumn("copies", F.col("copies") * F.col("month_copies")).drop(
+        "_member", "_bucket", "date_start", "date_end", "month_copies"
+    )
 
 
 def daily_sums(
-    claims: DataFrame, cohort: Cohort, policy: AttributionPolicy, dims: list[str], sums: dict[str, str]
+    claims: DataFrame, cohort: Coverage, policy: AttributionPolicy, dims: list[str], sums: dict[str, str]
 ) -> DataFrame:
     """Sum lines per member, month, coverage date and dimension, before anything is joined."""
     dated = policy.dated(in_cohort_months(claims, cohort, policy))
@@ -94,7 +97,7 @@ def daily_sums(
 
 def attributed_sums(
     claims: DataFrame,
-    cohort: Cohort,
+    cohort: Coverage,
     policy: AttributionPolicy,
     dims: list[str],
     sums: dict[str, str],
@@ -102,5 +105,5 @@ def attributed_sums(
 ) -> DataFrame:
     """Sums of attributed lines by status and dimension (and member): the summary that measures read."""
     attributed = attribute(daily_sums(claims, cohort, policy, dims, sums), cohort, policy)
-    keys = (["member_id"] if per_member else []) + ["elig_status", *dims]
+    keys = (["member_id"] if per_member else []) + [*cohort.status_columns, *dims]
     return attributed.groupBy(*keys).agg(*[F.expr(f"sum({name} * copies) AS {name}") for name in sums])

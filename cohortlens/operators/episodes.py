@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
 from cohortlens.operators.attribution import BY_CASE_DATE, attribute, in_cohort_months
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.cohort import Coverage
 
 DIED = "20"
 INPATIENT_GROUP = "i1"
@@ -50,7 +50,7 @@ def eligible_drgs(benchmarks: DataFrame) -> DataFrame:
     )
 
 
-def snf_readmit_cases(claims: DataFrame, cohort: Cohort) -> DataFrame:
+def snf_readmit_cases(claims: DataFrame, cohort: Coverage) -> DataFrame:
     """Skilled-nursing cases lying between an inpatient stay and a readmission within 30 days of it.
 
     The stay begins in the 30 days up to the readmission; the index admission ends in those same days, but not

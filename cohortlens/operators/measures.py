@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.numbers import EXACT, exact_sum_sql
+from cohortlens.operators.cohort import status_keys
 
 METRIC_COLUMNS = ["elig_status", "metric_id", "metric_value"]
 
@@ -33,12 +34,13 @@ def dims_of(measures: Iterable[Measure]) -> list[str]:
 
 
 def evaluate(summary: DataFrame, measures: list[Measure], by: tuple[str, ...] = ()) -> DataFrame:
-    """Evaluate every measure in one pass over ``summary``, per status and ``by``.
+    """Evaluate every measure in one pass over ``summary``, per status (and scenario) and ``by``.
 
     Each summary row is turned into the contributions it makes, so a status without qualifying rows gets no
     metric row, and one whose qualifying values are all NULL gets NULL. Two measures that arrive at the same
     id stay two rows.
     """
+    keys = [*status_keys(summary), *by]
     # One SQL expression for the lot: building it column by column costs a driver round trip for each.
     contributions = ", ".join(
         f"struct(coalesce({m.where}, false) AS keep, {position} AS measure, "
@@ -46,10 +48,10 @@ def evaluate(summary: DataFrame, measures: list[Measure], by: tuple[str, ...] =
         for position, m in enumerate(measures)
     )
     return (
-        summary.selectExpr("elig_status", *by, f"inline(filter(array({contributions}), c -> c.keep))")
-        .groupBy("elig_status", *by, "measure", "metric_id")
+        summary.selectExpr(*keys, f"inline(filter(array({contributions}), c -> c.keep))")
+        .groupBy(*keys, "measure", "metric_id")
         .agg(F.sum("part").cast("double").alias("metric_value"))
-        .select("elig_status", *by, "metric_id", "metric_value")
+        .select(*keys, "metric_id", "metric_value")
     )
 
 
@@ -76,7 +78,7 @@ def usage_of(rows: DataFrame, measures: list[Measure], value: str) -> DataFrame:
     """
     wanted = ids_of(measures)
     return (
-        rows.groupBy("elig_status", "btnumber")
+        rows.groupBy(*status_keys(rows), "btnumber")
         .agg(
             F.expr(f"{exact_sum_sql(f'if({wanted}, metric_value, NULL)')} AS {value}"),
             F.expr(f"bool_or({wanted}) AS present"),
@@ -89,19 +91,20 @@ def usage_of(rows: DataFrame, measures: list[Measure], value: str) -> DataFrame:
 def metric_rows(frame: DataFrame, metric_id: str, value: str) -> DataFrame:
     """One column of an already aggregated frame as metric rows."""
     return frame.select(
-        "elig_status", F.lit(metric_id).alias("metric_id"), F.col(value).cast("double").alias("metric_value")
+        *status_keys(frame), F.lit(metric_id).alias("metric_id"), F.col(value).cast("double").alias("metric_value")
     )
 
 
 def wide_to_metrics(frame: DataFrame, values: list[str]) -> DataFrame:
     """Metric columns of a one-row-per-status frame as long rows, in one pass."""
-    doubled = frame.select("elig_status", *[F.col(v).cast("double").alias(v) for v in values])
-    return doubled.unpivot("elig_status", values, "metric_id", "metric_value")
+    keys = status_keys(frame)
+    doubled = frame.select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
+    return doubled.unpivot(keys, values, "metric_id", "metric_value")
 
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
     """Union of metric frames on one schema."""
-    first, *rest = [f.select(*METRIC_COLUMNS) for f in frames]
+    first, *rest = [f.select(*status_keys(f), "metric_id", "metric_value") for f in frames]
     for frame in rest:
         first = first.unionByName(frame)
     return first

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import OPEN_RISK_BAND, RISK_BANDS
 from cohortlens.functions.numbers import weighted_mean
+from cohortlens.operators.cohort import status_keys
 
 MEDICARE = "Medicare"
 HCC_BASIS = "RS"
@@ -26,7 +27,7 @@ def average_risk(covered_months: DataFrame, digits: int, null_as_zero: bool = Fa
     mean = F.bround(weighted_mean("risk_score", "memmos"), digits)
     if null_as_zero:
         mean = F.coalesce(mean, F.lit(0.0))
-    return covered_months.groupBy("elig_status").agg(mean.alias("risk_score_avg"))
+    return covered_months.groupBy(*status_keys(covered_months)).agg(mean.alias("risk_score_avg"))
 
 
 def band_table(ref_hcg_bt: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def adjust_strict(usage: DataFrame, risk: DataFrame, bands: DataFrame, factor: s
     Usage without such a band is lost, the raw value included.
     """
     return (
-        usage.join(risk, "elig_status")
+        usage.join(risk, status_keys(usage))
         .join(bands, "btnumber")
         .where(_in_band())
         .withColumn("adjusted", F.expr(f"try_divide(CAST({value} AS double), {factor})"))
@@ -69,7 +70,7 @@ def adjust_lenient(usage: DataFrame, risk: DataFrame, bands: DataFrame, factor:
     A benefit type whose factors are NULL is kept once per band, whatever the risk.
     """
     return (
-        usage.join(risk, "elig_status", "left")
+        usage.join(risk, status_keys(usage), "left")
         .join(bands, "btnumber", "left")
         .where(F.col(factor).isNull() | _in_band())
         .withColumn("adjusted", F.expr(f"try_divide(CAST({value} AS double), coalesce({factor}, 1D))"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import month_of
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.sources.tables import ClaimTables
 
 KEYS = [
@@ -23,7 +23,7 @@ def _yn(condition: Column) -> Column:
     return F.when(condition, "Y").otherwise("N")
 
 
-def betos_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def betos_summary(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     """Claims that start or end in the period, in the month they start, or end if they start outside it.
 
     Coverage windows play no part here, and the period is never narrowed to the year to date.
@@ -40,9 +40,10 @@ def betos_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
         }
     )
     monthly = claims.groupBy("member_id", "elig_month", *KEYS).agg(F.sum("prm_costs").alias("costs"))
-    months = cohort.covered_months.select("member_id", "elig_month", "elig_status")
-    return (
-        monthly.join(months, ["member_id", "elig_month"])
-        .groupBy(*KEYS, "elig_status")
-        .agg(F.sum("costs").cast("double").alias("costs"))
+    summed = (
+        monthly.join(cohort.status_months, ["member_id", "elig_month"])
+        .groupBy(*KEYS, *cohort.status_columns)
+        .agg(F.sum(F.col("costs") * F.col("copies")).alias("costs"))
     )
+    rows = cohort.expanded(summed)
+    return rows.groupBy(*KEYS, *status_keys(rows)).agg(F.sum("costs").cast("double").alias("costs"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import HOSPICE_LINES
 from cohortlens.functions.numbers import is_yes
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.operators.episodes import died_in_hospital
 from cohortlens.operators.measures import Measure, dims_of, evaluate
 from cohortlens.operators.rollup import NON_ESRD
@@ -31,54 +31,59 @@ MEASURES = [*DECEDENTS, *CANCER, *FINAL_COST, *HOSPITAL_DEATHS, *HOSPICE]
 FINAL_DAYS = 30
 
 
-def eol_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | None = None) -> DataFrame:
-    """Measures per status, over all non-ESRD statuses (each member once) and, for decedents, over everyone."""
+def eol_metrics(
+    tables: ClaimTables, cohort: Coverage, measures: list[Measure] | None = None, care: DataFrame | None = None
+) -> DataFrame:
+    """Measures per status, over all non-ESRD statuses (each member once) and, for decedents, over everyone.
+
+    ``care`` is the ``final_care`` of the members, where it has been taken.
+    """
     measures = measures or MEASURES
     people = decedents(tables, cohort)
     if dims_of(measures):
-        people = with_final_care(people, tables.outclaims)
-    values = [c for c in people.columns if c not in ("member_id", "death_date", "statuses")]
+        people = with_final_care(people, final_care(tables, cohort) if care is None else care)
+    others = [c for c in people.columns if c == "scenario"]
+    values = [c for c in people.columns if c not in ("member_id", "death_date", "statuses", *others)]
     non_esrd = F.when(F.exists("statuses", lambda s: s != ESRD), F.lit(NON_ESRD))
     groups = F.array_compact(F.concat(F.col("statuses"), F.array(non_esrd, F.lit(ALL))))
     totals = (
-        people.select(F.explode(groups).alias("elig_status"), *values)
-        .groupBy("elig_status")
+        people.select(*others, F.explode(groups).alias("elig_status"), *values)
+        .groupBy(*others, "elig_status")
         .agg(*[F.sum(c).alias(c) for c in values])
     )
     return evaluate(totals, measures)
 
 
-def decedents(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def decedents(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     """Cohort members who died in the period, with the set of statuses they were seen in."""
-    died = tables.members.where(cohort.period.holds("death_date")).select(
-        "member_id",
+    months = cohort.member_months
+    keys = [*(key for key in status_keys(months) if key != "elig_status"), "member_id"]
+    died = cohort.dying(tables.members).select(
+        *keys,
         "death_date",
         is_yes("endoflife_denom_yn_chemolt14days").cast("int").alias("cnt_cancer"),
         is_yes("endoflife_numer_yn_chemolt14days").cast("int").alias("cnt_chemo"),
         F.lit(1).alias("members"),
     )
-    seen = (
-        cohort.member_months.where(F.col("memmos") != 0)
-        .groupBy("member_id")
-        .agg(F.collect_set("elig_status").alias("statuses"))
-    )
-    return died.join(seen, "member_id")
+    seen = months.where(F.col("memmos") != 0).groupBy(*keys).agg(F.collect_set("elig_status").alias("statuses"))
+    return died.join(seen, keys)
 
 
-def with_final_care(people: DataFrame, claims: DataFrame) -> DataFrame:
-    """Add each decedent's cost in the last 30 days or later, hospital death and hospice use.
+def final_care(tables: ClaimTables, cohort: Coverage) -> DataFrame:
+    """Per member who died in the cohort's range: cost in the last 30 days or later, hospice days, death in hospital.
 
     Claims need not be attributed. They are summed per member and end date before they meet the decedents; how they
     meet them is left to the session's broadcast threshold and to adaptive execution.
     """
-    care = claims.groupBy("member_id", "prm_todate").agg(
+    care = tables.outclaims.groupBy("member_id", "prm_todate").agg(
         F.sum("prm_costs").alias("cost"),
         F.sum(F.when(F.col("prm_line").isin(*HOSPICE_LINES), F.col("prm_util"))).alias("hospice_days"),
         F.bool_or(died_in_hospital()).alias("death_in_hosp"),
     )
+    died = tables.members.where(cohort.period.holds("death_date")).select("member_id", "death_date")
     final = F.datediff("death_date", "prm_todate") <= FINAL_DAYS
-    per_member = (
-        care.join(people.select("member_id", "death_date"), "member_id")
+    return (
+        care.join(died, "member_id")
         .groupBy("member_id")
         .agg(
             F.sum(F.when(final, F.col("cost"))).alias("final_cost"),
@@ -86,9 +91,13 @@ def with_final_care(people: DataFrame, claims: DataFrame) -> DataFrame:
             F.bool_or("death_in_hosp").alias("death_in_hosp"),
         )
     )
+
+
+def with_final_care(people: DataFrame, care: DataFrame) -> DataFrame:
+    """Add each decedent's final cost, hospital death and hospice use."""
     days = F.coalesce("hospice_days", F.lit(0))
     return (
-        people.join(per_member, "member_id", "left")
+        people.join(care, "member_id", "left")
         .withColumns(
             {
                 "final_cost": F.coalesce("final_cost", F.lit(0)),

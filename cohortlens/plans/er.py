@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.numbers import EXACT
-from cohortlens.operators.attribution import BY_LINE_DATE, attribute, in_cohort_months
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.attribution import BY_LINE_DATE
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.operators.measures import Measure, again, evaluate, ids_of, metric_rows, stack, usage_of
 from cohortlens.operators.risk import adjust_strict, average_risk, band_table, with_benefit_type
+from cohortlens.operators.shared_scan import LineFamily, own_sums
 from cohortlens.sources.tables import NYU_PREFIX, ClaimTables
 
 ER_PREFIX = "O11"
@@ -27,18 +28,31 @@ CLASSIFIED = [
 MEASURES = [*VISITS, *CLASSIFIED]
 
 
+# Visits are kept apart by case, since a case's classification is joined to them.
+FAMILY = LineFamily(
+    where=f"startswith(prm_line, '{ER_PREFIX}')",
+    policy=BY_LINE_DATE,
+    sums={"util": "prm_util"},
+    dims={"prm_line": "prm_line", "case_member": "member_id", "caseadmitid": "caseadmitid"},
+)
+
+
 def er_metrics(
     tables: ClaimTables,
-    cohort: Cohort,
+    cohort: Coverage,
     consolidate: bool = False,
     measures: list[Measure] = MEASURES,
     adjusted: bool = True,
+    visits: DataFrame | None = None,
 ) -> DataFrame:
     """All emergency measures, or the ones given, from one pass over the visits.
 
-    ``adjusted`` adds the risk-adjusted visits, for which the measures have to include the plain ones.
+    ``adjusted`` adds the risk-adjusted visits, for which the measures have to include the plain ones. ``visits`` has
+    the family's sums where they have been taken along with those of others.
     """
-    typed = with_benefit_type(visit_summary(tables, cohort), tables.ref_link_hcg_researcher_line)
+    if visits is None:
+        visits = own_sums(tables.outclaims, cohort, FAMILY)
+    typed = with_benefit_type(visit_summary(tables, visits), tables.ref_link_hcg_researcher_line)
     rows = evaluate(typed, measures, by=("btnumber",))
     parts = [unadjusted(rows, consolidate)]
     if adjusted:
@@ -46,27 +60,20 @@ def er_metrics(
     return stack(parts)
 
 
-def visit_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def visit_summary(tables: ClaimTables, visits: DataFrame) -> DataFrame:
     """Attributed visits per status and service line, plain and weighted by each classification probability.
 
-    Visits are summed per case and day before the classification is joined. A case classified twice counts
-    its visits twice, so the classification is reduced to one row per case with its row count and sums.
+    A case classified twice counts its visits twice, so the classification is reduced to one row per case with its row
+    count and sums.
     """
-    claims = tables.outclaims.where(F.col("prm_line").startswith(ER_PREFIX))
-    visits = (
-        BY_LINE_DATE.dated(in_cohort_months(claims, cohort, BY_LINE_DATE))
-        .groupBy("member_id", "caseadmitid", "claim_month", "covered_date", "prm_line")
-        .agg(F.sum("prm_util").alias("util"))
-    )
     nyu = [c for c in tables.decor_case.columns if c.startswith(NYU_PREFIX)]
-    cases = tables.decor_case.groupBy("member_id", "caseadmitid").agg(
+    cases = tables.decor_case.groupBy(F.col("member_id").alias("case_member"), "caseadmitid").agg(
         F.count(F.lit(1)).alias("case_rows"), *[F.sum(c).alias(c) for c in nyu]
     )
-    weighted = attribute(visits, cohort, BY_LINE_DATE).join(cases, ["member_id", "caseadmitid"], "left")
-    util = F.col("util") * F.col("copies")
-    return weighted.groupBy("elig_status", "prm_line").agg(
-        F.sum(util * F.coalesce("case_rows", F.lit(1))).alias("util"),
-        *[F.sum((util * F.col(c)).cast(EXACT)).alias(c) for c in nyu],
+    weighted = visits.join(cases, ["case_member", "caseadmitid"], "left")
+    return weighted.groupBy(*status_keys(visits), "prm_line").agg(
+        F.sum(F.col("util") * F.coalesce("case_rows", F.lit(1))).alias("util"),
+        *[F.sum((F.col("util") * F.col(c)).cast(EXACT)).alias(c) for c in nyu],
     )
 
 
@@ -77,7 +84,7 @@ def unadjusted(rows: DataFrame, consolidate: bool = False) -> DataFrame:
     return evaluate(typed, [again()], by=("kept_type",))
 
 
-def adjusted_visits(tables: ClaimTables, cohort: Cohort, rows: DataFrame, consolidate: bool = False) -> DataFrame:
+def adjusted_visits(tables: ClaimTables, cohort: Coverage, rows: DataFrame, consolidate: bool = False) -> DataFrame:
     """Risk-adjusted visits, for benefit types that have a band; risk is rounded to two digits here."""
     usage = usage_of(rows, VISITS, "visits")
     risk = average_risk(cohort.covered_months, digits=2)

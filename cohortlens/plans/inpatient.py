@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
-from cohortlens.functions.numbers import is_yes
-from cohortlens.operators.attribution import BY_LINE_DATE, attributed_sums
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.attribution import BY_LINE_DATE
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.operators.measures import Measure, dims_of, evaluate, stack
 from cohortlens.operators.risk import adjust_lenient, average_risk, band_table, with_benefit_type
+from cohortlens.operators.shared_scan import LineFamily, own_sums
 from cohortlens.sources.tables import ClaimTables
 
 PQI = [
@@ -43,16 +43,39 @@ SURGICAL = [Measure("surgical", "admits", "prm_line = 'I12'")]
 ADJUSTED = [*ACUTE, *MEDICAL, *SURGICAL]
 
 
+# Leaving skilled-nursing lines out makes the claim month and the covered date the same date.
+FAMILY = LineFamily(
+    where=f"startswith(prm_line, 'I') AND prm_line <> '{SNF_LINE}'",
+    policy=BY_LINE_DATE,
+    sums={"admits": "prm_admits"},
+    dims={
+        "prm_line": "prm_line",
+        "pqi": "prm_ahrq_pqi",
+        "psp": "if(psp_preventable_yn = 'Y', psp_category, NULL)",
+        "one_day": "coalesce(prm_util = 1, false)",
+        "readmit_potential": "coalesce(prm_readmit_potential_yn = 'Y', false)",
+        "readmit_all_cause": "coalesce(prm_readmit_all_cause_yn = 'Y', false)",
+        "to_snf": "coalesce(dischargestatus = '03', false)",
+    },
+)
+
+
 def inpatient_metrics(
     tables: ClaimTables,
-    cohort: Cohort,
+    cohort: Coverage,
     counts: list[Measure] | None = None,
     adjusted: list[Measure] | None = None,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
-    """All inpatient measures, or just the ones given; both parts read the same summary."""
+    """All inpatient measures, or just the ones given; both parts read the same summary.
+
+    ``summary`` has the family's sums where they have been taken along with those of others.
+    """
     if counts is None and adjusted is None:
         counts, adjusted = COUNTS, ADJUSTED
-    summary = with_benefit_type(admission_summary(tables, cohort, counts or []), tables.ref_link_hcg_researcher_line)
+    if summary is None:
+        summary = admission_summary(tables, cohort, counts or [])
+    summary = with_benefit_type(summary, tables.ref_link_hcg_researcher_line)
     parts = []
     if counts:
         parts.append(evaluate(summary, counts))
@@ -61,25 +84,14 @@ def inpatient_metrics(
     return stack(parts)
 
 
-def admission_summary(tables: ClaimTables, cohort: Cohort, measures: list[Measure]) -> DataFrame:
+def admission_summary(tables: ClaimTables, cohort: Coverage, measures: list[Measure]) -> DataFrame:
     """Attributed admissions per status, service line and the dimensions the measures need."""
-    # Dropping skilled-nursing lines first makes the claim month and the covered date the same date.
-    claims = tables.outclaims.where(F.col("prm_line").startswith("I") & (F.col("prm_line") != SNF_LINE)).withColumns(
-        {
-            "pqi": F.col("prm_ahrq_pqi"),
-            "psp": F.when(F.col("psp_preventable_yn") == "Y", F.col("psp_category")),
-            "one_day": F.coalesce(F.col("prm_util") == 1, F.lit(False)),
-            "readmit_potential": is_yes("prm_readmit_potential_yn"),
-            "readmit_all_cause": is_yes("prm_readmit_all_cause_yn"),
-            "to_snf": F.coalesce(F.col("dischargestatus") == "03", F.lit(False)),
-        }
-    )
-    return attributed_sums(claims, cohort, BY_LINE_DATE, ["prm_line", *dims_of(measures)], {"admits": "prm_admits"})
-
-
-def risk_adjusted_admits(tables: ClaimTables, cohort: Cohort, summary: DataFrame) -> DataFrame:
+    return own_sums(tables.outclaims, cohort, FAMILY.with_dims(["prm_line", *dims_of(measures)]))
+
+
+def risk_adjusted_admits(tables: ClaimTables, cohort: Coverage, summary: DataFrame) -> DataFrame:
     """Admissions per status, service line and benefit type, with the risk-adjusted count beside the raw one."""
-    usage = summary.groupBy("elig_status", "prm_line", "btnumber").agg(F.sum("admits").alias("admits"))
+    usage = summary.groupBy(*status_keys(summary), "prm_line", "btnumber").agg(F.sum("admits").alias("admits"))
     risk = average_risk(cohort.covered_months, digits=3, null_as_zero=True)
     return adjust_lenient(usage, risk, band_table(tables.ref_hcg_bt), "admitfactor", "admits")
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cohortlens.config import LINE_PREFIXES
-from cohortlens.operators.attribution import BY_STAY_DATE, attributed_sums
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.attribution import BY_STAY_DATE
+from cohortlens.operators.cohort import Coverage
 from cohortlens.operators.measures import Measure, evaluate
+from cohortlens.operators.shared_scan import LineFamily, own_sums
 from cohortlens.sources.tables import ClaimTables
 
 SUMS = {"cost": "prm_costs", "util": "prm_util", "admits": "prm_admits"}
@@ -19,7 +20,16 @@ PREFIX_MEASURES = [
 LINE_MEASURES = [Measure("", name, id_from=f"concat(prm_line, '_{name}')") for name in SUMS]
 
 
-def line_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | None = None) -> DataFrame:
-    """Every measure reads one summary by status and line, so claims are attributed once."""
-    summary = attributed_sums(tables.outclaims, cohort, BY_STAY_DATE, ["prm_line"], SUMS)
+FAMILY = LineFamily(where="true", policy=BY_STAY_DATE, sums=SUMS, dims={"prm_line": "prm_line"})
+
+
+def line_metrics(
+    tables: ClaimTables, cohort: Coverage, measures: list[Measure] | None = None, summary: DataFrame | None = None
+) -> DataFrame:
+    """Every measure reads one summary by status and line, so claims are attributed once.
+
+    ``summary`` has the family's sums where they have been taken along with those of others.
+    """
+    if summary is None:
+        summary = own_sums(tables.outclaims, cohort, FAMILY)
     return evaluate(summary, measures or [*PREFIX_MEASURES, *LINE_MEASURES])

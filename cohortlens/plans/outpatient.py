@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cohortlens.operators.attribution import BY_LINE_DATE, attributed_sums
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.attribution import BY_LINE_DATE
+from cohortlens.operators.cohort import Coverage
 from cohortlens.operators.measures import Measure, again, dims_of, evaluate, ids_of, stack
 from cohortlens.operators.risk import adjust_strict, average_risk, band_table, with_benefit_type
+from cohortlens.operators.shared_scan import LineFamily, own_sums
 from cohortlens.sources.tables import ClaimTables
 
 PREFIXES = ("O14", "O10", "P57", "P59", "P33", "P32", "O12")
@@ -32,17 +30,30 @@ PSP_PROCEDURES = [
 ]
 
 
+FAMILY = LineFamily(
+    where=" OR ".join(f"startswith(prm_line, '{prefix}')" for prefix in PREFIXES),
+    policy=BY_LINE_DATE,
+    sums={"util": "prm_util", "cases": "mr_cases_admits"},
+    dims={"prm_line": "prm_line", "psp": "if(psp_preventable_yn = 'Y', psp_category, NULL)"},
+)
+
+
 def outpatient_metrics(
     tables: ClaimTables,
-    cohort: Cohort,
+    cohort: Coverage,
     adjusted: list[Measure] | None = None,
     counts: list[Measure] | None = None,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
-    """All outpatient measures, or just the ones given."""
+    """All outpatient measures, or just the ones given.
+
+    ``summary`` has the family's sums where they have been taken along with those of others.
+    """
     if adjusted is None and counts is None:
         adjusted, counts = ADJUSTED, PSP_PROCEDURES
     adjusted, counts = adjusted or [], counts or []
-    summary = visit_summary(tables, cohort, [*adjusted, *counts])
+    if summary is None:
+        summary = visit_summary(tables, cohort, [*adjusted, *counts])
     typed = with_benefit_type(summary, tables.ref_link_hcg_researcher_line)
     # Both parts start from these rows and choose theirs by value, not by a filter, so that Spark computes the
     # rows once.
@@ -55,22 +66,13 @@ def outpatient_metrics(
     return stack(parts)
 
 
-def visit_summary(tables: ClaimTables, cohort: Cohort, measures: list[Measure]) -> DataFrame:
+def visit_summary(tables: ClaimTables, cohort: Coverage, measures: list[Measure]) -> DataFrame:
     """Attributed usage and cases per status, service line and the dimensions the measures need."""
-    line = F.col("prm_line")
-    claims = tables.outclaims.where(reduce(lambda any_of, p: any_of | p, [line.startswith(p) for p in PREFIXES]))
-    claims = claims.withColumn("psp", F.when(F.col("psp_preventable_yn") == "Y", F.col("psp_category")))
-    return attributed_sums(
-        claims,
-        cohort,
-        BY_LINE_DATE,
-        ["prm_line", *dims_of(measures)],
-        {"util": "prm_util", "cases": "mr_cases_admits"},
-    )
+    return own_sums(tables.outclaims, cohort, FAMILY.with_dims(["prm_line", *dims_of(measures)]))
 
 
 def risk_adjusted_usage(
-    tables: ClaimTables, cohort: Cohort, rows: DataFrame, measures: list[Measure]
+    tables: ClaimTables, cohort: Coverage, rows: DataFrame, measures: list[Measure]
 ) -> DataFrame:
     """Usage with a risk band and its adjusted value; usage without a band is missing from both."""
     risk = average_risk(cohort.covered_months, digits=3, null_as_zero=True)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.numbers import is_yes
 from cohortlens.operators.attribution import BY_STAY_MONTH, attribute, daily_sums
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.operators.episodes import eligible_drgs, episode_flags, hospital_deaths
+from cohortlens.operators.key_filter import key_filter, may_hold
 from cohortlens.operators.measures import Measure, evaluate
 from cohortlens.sources.tables import ClaimTables
 
@@ -38,25 +39,44 @@ DRG_COUNTS = {
 }
 
 
-def pac_metrics(tables: ClaimTables, cohort: Cohort, measures: list[Measure] | None = None) -> DataFrame:
+def pac_metrics(tables: ClaimTables, cohort: Coverage, measures: list[Measure] | None = None) -> DataFrame:
     return evaluate(index_summary(tables, cohort), measures or MEASURES)
 
 
-def pac_drg_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def pac_drg_summary(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     return drg_counts(index_summary(tables, cohort))
 
 
 def drg_counts(summary: DataFrame) -> DataFrame:
     """Index admissions per status and DRG: all of them, and those followed by each kind of use or by death."""
     followed = [f"sum(if({flag} = 'Y', admits, 0)) AS {name}" for name, flag in DRG_COUNTS.items()]
-    return summary.groupBy("elig_status", "prm_drg").agg(
+    return summary.groupBy(*status_keys(summary), "prm_drg").agg(
         F.sum("admits").alias("pac_count"), *map(F.expr, followed)
     )
 
 
-def index_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def index_summary(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     """Attributed index lines of eligible DRGs, summed per status, DRG, service line and episode flag.
 
+    Flags are only summed for episodes that have such lines: a filter of bounded size over these episodes drops most
+    other lines where they are read, and the join that follows drops the rest.
+    """
+    episodes = index_episodes(tables, cohort)
+    # every episode has lines; the condition keeps all columns in the plan, so that Spark computes it once for both uses
+    wanted = key_filter(episodes.where("lines > 0 OR admits > 0"), "pac_caseadmitid")
+    flags = episode_flags(may_hold(tables.outclaims, "pac_caseadmitid", wanted))
+    flag_names = [c for c in flags.columns if c != "pac_caseadmitid"]
+    summed = (
+        episodes.join(flags, "pac_caseadmitid", "left")
+        .groupBy(*cohort.status_columns, "prm_drg", "prm_line", "numer", "denom", "died", *flag_names)
+        .agg(F.sum("admits").alias("admits"), F.sum("lines").alias("lines"))
+    )
+    return cohort.expanded(summed)
+
+
+def index_episodes(tables: ClaimTables, cohort: Coverage) -> DataFrame:
+    """Attributed index lines of eligible DRGs, summed per status and episode.
+
     Lines are narrowed to the cohort and summed per episode before benchmarks and flags are joined. The many
     lines without an episode thereby meet the joins as a few rows, where they would otherwise all hash to one
     partition; so do the lines of a frequent DRG.
@@ -75,17 +95,10 @@ def index_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
         attribute(daily, cohort, BY_STAY_MONTH)
         .join(deaths(tables), "member_id", "left")
         .withColumn("died", F.when(died, "Y").otherwise("N"))
-        .groupBy("elig_status", "died", *dims)
+        .groupBy(*cohort.status_columns, "died", *dims)
         .agg(*[F.sum(F.col(c) * F.col("copies")).alias(c) for c in ("admits", "lines")])
     )
-    flags = episode_flags(tables.outclaims)
-    flag_names = [c for c in flags.columns if c != "pac_caseadmitid"]
-    return (
-        by_episode.join(eligible_drgs(tables.ref_pac_benchmarks), "prm_drg")
-        .join(flags, "pac_caseadmitid", "left")
-        .groupBy("elig_status", "prm_drg", "prm_line", "numer", "denom", "died", *flag_names)
-        .agg(F.sum("admits").alias("admits"), F.sum("lines").alias("lines"))
-    )
+    return by_episode.join(eligible_drgs(tables.ref_pac_benchmarks), "prm_drg")
 
 
 def deaths(tables: ClaimTables) -> DataFrame:

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
-from cohortlens.functions.numbers import exact_sum, is_yes
-from cohortlens.operators.attribution import BY_CASE_DATE, attributed_sums
-from cohortlens.operators.cohort import Cohort
+from cohortlens.functions.numbers import exact_sum
+from cohortlens.operators.attribution import BY_CASE_DATE
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.operators.measures import Measure, dims_of, evaluate, ids_of, metric_rows, stack, usage_of
 from cohortlens.operators.risk import adjust_strict, average_risk, band_table, with_benefit_type
+from cohortlens.operators.shared_scan import LineFamily, own_sums
 from cohortlens.sources.tables import ClaimTables
 
 ADMITS = [Measure("SNF", "admits")]
@@ -26,36 +27,45 @@ FACILITIES = [Measure("distinct_SNFs", "1")]
 MEASURES = [*ADMITS, *LONG_STAYS, *ALL_CAUSE_READMITS, *FACILITIES, *FLAGGED_READMITS]
 
 
+FAMILY = LineFamily(
+    where=f"startswith(prm_line, '{SNF_LINE}')",
+    policy=BY_CASE_DATE,
+    sums={"admits": "prm_admits"},
+    dims={
+        "prm_line": "prm_line",
+        "providerid": "providerid",
+        "over_21_days": "coalesce(prm_util > 21, false)",
+        "readmit_all_cause": "coalesce(prm_readmit_all_cause_yn = 'Y', false)",
+        "readmit_numer": "coalesce(snfrm_numer_yn = 'Y', false)",
+        "readmit_denom": "coalesce(snfrm_denom_yn = 'Y', false)",
+    },
+)
+
+
 def snf_metrics(
     tables: ClaimTables,
-    cohort: Cohort,
+    cohort: Coverage,
     consolidate: bool = False,
     measures: list[Measure] = MEASURES,
     adjusted: bool = True,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """All skilled-nursing measures, or the ones given, from one pass over the stays.
 
-    ``adjusted`` adds the risk-adjusted admits, for which the measures have to include the plain ones.
+    ``adjusted`` adds the risk-adjusted admits, for which the measures have to include the plain ones. ``summary`` has
+    the family's sums where they have been taken along with those of others.
     """
-    rows = facility_rows(tables, cohort, measures)
+    if summary is None:
+        summary = own_sums(tables.outclaims, cohort, FAMILY.with_dims(["prm_line", "providerid", *dims_of(measures)]))
+    rows = facility_rows(tables, summary, measures)
     parts = [unadjusted(rows, consolidate)]
     if adjusted:
         parts.append(adjusted_admits(tables, cohort, rows, consolidate))
     return stack(parts)
 
 
-def facility_rows(tables: ClaimTables, cohort: Cohort, measures: list[Measure]) -> DataFrame:
+def facility_rows(tables: ClaimTables, summary: DataFrame, measures: list[Measure]) -> DataFrame:
     """The measures per status, benefit type and facility."""
-    claims = tables.outclaims.where(F.col("prm_line").startswith(SNF_LINE)).withColumns(
-        {
-            "over_21_days": F.coalesce(F.col("prm_util") > 21, F.lit(False)),
-            "readmit_all_cause": is_yes("prm_readmit_all_cause_yn"),
-            "readmit_numer": is_yes("snfrm_numer_yn"),
-            "readmit_denom": is_yes("snfrm_denom_yn"),
-        }
-    )
-    dims = ["prm_line", "providerid", *dims_of(measures)]
-    summary = attributed_sums(claims, cohort, BY_CASE_DATE, dims, {"admits": "prm_admits"})
     typed = with_benefit_type(summary, tables.ref_link_hcg_researcher_line)
     return evaluate(typed, measures, by=("btnumber", "providerid"))
 
@@ -63,19 +73,19 @@ def facility_rows(tables: ClaimTables, cohort: Cohort, measures: list[Measure])
 def unadjusted(rows: DataFrame, consolidate: bool = False) -> DataFrame:
     """Admissions keep one row per benefit type unless consolidated; everything else is per status."""
     kept_apart = "false" if consolidate else ids_of(ADMITS)
-    counted = ids_of(FACILITIES)
+    counted, keys = ids_of(FACILITIES), status_keys(rows)
     return (
         rows.withColumn("kept_type", F.expr(f"if({kept_apart}, btnumber, NULL)"))
-        .groupBy("elig_status", "metric_id", "kept_type")
+        .groupBy(*keys, "metric_id", "kept_type")
         .agg(
             exact_sum("metric_value").alias("summed"),
             F.expr(f"count(DISTINCT if({counted}, providerid, NULL))").alias("facilities"),
         )
-        .select("elig_status", "metric_id", F.expr(f"if({counted}, CAST(facilities AS double), summed) AS metric_value"))
+        .select(*keys, "metric_id", F.expr(f"if({counted}, CAST(facilities AS double), summed) AS metric_value"))
     )
 
 
-def adjusted_admits(tables: ClaimTables, cohort: Cohort, rows: DataFrame, consolidate: bool = False) -> DataFrame:
+def adjusted_admits(tables: ClaimTables, cohort: Coverage, rows: DataFrame, consolidate: bool = False) -> DataFrame:
     """Risk-adjusted admissions, for benefit types that have a band."""
     usage = usage_of(rows, ADMITS, "admits")
     risk = average_risk(cohort.covered_months, digits=3)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.config import UNLISTED_THRESHOLD_SUMMARY
 from cohortlens.functions.dates import ReportingPeriod, month_of
 from cohortlens.functions.numbers import exact_sum, exact_sum_sql, from_ticks, to_ticks
-from cohortlens.operators.cohort import Cohort
+from cohortlens.operators.cohort import Coverage, status_keys
 from cohortlens.operators.cost import cutoffs_met, met_cutoff, truncated
 from cohortlens.sources.tables import ClaimTables
 
@@ -33,12 +33,12 @@ def runout_cutoffs(period: ReportingPeriod) -> dict[str, Column]:
     }
 
 
-def truncation_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def truncation_summary(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     """Costs, add-ons, net costs and truncated net costs per status and date basis."""
     members = member_costs(tables, cohort)
+    keys = [*status_keys(members), "date_flag"]
     limited = members.selectExpr(
-        "elig_status",
-        "date_flag",
+        *keys,
         "memmos",
         *COST_COLUMNS,
         *[
@@ -54,16 +54,16 @@ def truncation_summary(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     sums = [
         f"{exact_sum_sql(c) if c in inexact else from_ticks(f'sum({c})')} AS {c}"
         for c in limited.columns
-        if c not in ("elig_status", "date_flag")
+        if c not in keys
     ]
-    return limited.groupBy("elig_status", "date_flag").agg(*map(F.expr, sums))
+    return limited.groupBy(*keys).agg(*map(F.expr, sums))
 
 
 def _net(suffix: str) -> str:
     return f"(costs{suffix}" + "".join(f" - {add_on}_costs{suffix}" for add_on in ADD_ONS) + ")"
 
 
-def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def member_costs(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     """Covered months, costs and add-ons (in ticks) of every covered member, per status and date basis.
 
     Members without claims in the period have costs of 0. Their months are stacked under the claim sums and
@@ -74,52 +74,52 @@ def member_costs(tables: ClaimTables, cohort: Cohort) -> DataFrame:
     def by_cutoff(value: str, suffix: str) -> str:
         return f"if({met_cutoff('met', CUTOFFS, suffix)}, {value}, 0)" if suffix else value
 
+    keys = ["member_id", *status_keys(amounts), "date_flag"]
     sums = [f"sum({by_cutoff('costs', s)}) AS costs{s}" for s in SUFFIXES]
     sums += [f"sum({by_cutoff(a, s)}) AS {a}_costs{s}" for s in SUFFIXES for a in ADD_ONS]
-    costs = amounts.groupBy("member_id", "elig_status", "date_flag").agg(*map(F.expr, sums))
+    costs = amounts.groupBy(*keys).agg(*map(F.expr, sums))
     bases = F.explode(F.array(*map(F.lit, DATE_BASES)))
-    months = cohort.covered_months.select("member_id", "elig_status", "memmos", bases.alias("date_flag"))
+    months = cohort.covered_months.select("member_id", *status_keys(amounts), "memmos", bases.alias("date_flag"))
     return (
         costs.unionByName(months, allowMissingColumns=True)
-        .groupBy("member_id", "elig_status", "date_flag")
+        .groupBy(*keys)
         .agg(exact_sum("memmos").alias("memmos"), *[F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in COST_COLUMNS])
     )
 
 
-def claim_amounts(tables: ClaimTables, cohort: Cohort) -> DataFrame:
+def claim_amounts(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     """Attributed cost with the add-ons of its claim, in ticks, once per distinct set of add-ons and met cut-offs.
 
     Add-ons are repeated on the lines of a claim and count once, cost is per line and counts every time: cost is
     summed within the group that makes the add-ons distinct. Lines paid on two sides of a cut-off stay apart.
-    Both date bases come from one scan.
+
+    Both date bases come from one scan, and lines are added up before they are told apart: the first sum has the months
+    of both bases in its key, NULL outside the period, and so one row for each line at most.
     """
     period = cohort.report_period
-    cutoffs = runout_cutoffs(period)
-    bases = F.array(
-        *[
-            F.struct(F.lit(b).alias("date_flag"), F.col(b).alias("incurred"), period.holds(b).alias("in_period"))
-            for b in DATE_BASES
-        ]
-    )
+    months = {basis: f"{basis}_month" for basis in DATE_BASES}
     sign = "if(prm_costs < 0, -1, 1)"
-    claims = (
+    summed = (
         tables.outclaims.where(period.holds("prm_fromdate") | period.holds("prm_todate"))
         .select(
             "member_id",
             "claimid",
             F.expr(f"{to_ticks('prm_costs')} AS costs"),
             *[F.expr(f"{sign} * {to_ticks(amount)} AS {name}") for name, amount in ADD_ONS.items()],
-            cutoffs_met("paiddate", cutoffs).alias("met"),
-            F.inline(F.filter(bases, lambda basis: basis["in_period"])),
+            cutoffs_met("paiddate", runout_cutoffs(period)).alias("met"),
+            *[F.when(period.holds(basis), month_of(basis)).alias(month) for basis, month in months.items()],
         )
-        .withColumn("elig_month", month_of("incurred"))
+        .groupBy("member_id", "claimid", *ADD_ONS, "met", *months.values())
+        .agg(F.sum("costs").alias("costs"))
     )
-    monthly = claims.groupBy("date_flag", "member_id", "elig_month", "claimid", *ADD_ONS, "met").agg(
-        F.sum("costs").alias("costs")
+    bases = F.array(
+        *[F.struct(F.lit(basis).alias("date_flag"), F.col(month).alias("elig_month")) for basis, month in months.items()]
     )
-    months = cohort.covered_months.select("member_id", "elig_month", "elig_status")
-    return (
-        monthly.join(months, ["member_id", "elig_month"])
-        .groupBy("date_flag", "member_id", "elig_status", "claimid", *ADD_ONS, "met")
-        .agg(F.sum("costs").alias("costs"))
+    by_basis = summed.select(
+        "member_id", "claimid", *ADD_ONS, "met", "costs",
+        F.inline(F.filter(bases, lambda basis: basis["elig_month"].isNotNull())),
+    )
+    rows = cohort.expanded(by_basis.join(cohort.status_months, ["member_id", "elig_month"]))
+    return rows.groupBy("date_flag", "member_id", *status_keys(rows), "claimid", *ADD_ONS, "met").agg(
+        F.sum(F.col("costs") * F.col("copies")).alias("costs")
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -31,3 +33,17 @@ def stage(frame: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
     frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def stage_together(frames: dict[str, DataFrame], folder: str, name: str) -> dict[str, DataFrame]:
+    """Write several frames to ``folder/name`` in one job and read each of them back.
+
+    Within a job Spark runs the frames' stages side by side and computes once what they have in common. Columns of one
+    name have to be of one type.
+    """
+    tagged = [frame.withColumn("part", F.lit(part)) for part, frame in frames.items()]
+    stacked = reduce(lambda some, one: some.unionByName(one, allowMissingColumns=True), tagged)
+    path = f"{folder}/{name}.parquet"
+    stacked.write.mode("overwrite").partitionBy("part").parquet(path)
+    whole = stacked.sparkSession.read.schema(stacked.schema).parquet(path)
+    return {part: whole.where(F.col("part") == part).select(*frame.columns) for part, frame in frames.items()}

@@ -1,10 +1,13 @@
-from datetime import date
+import random
+from collections import Counter
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortlens import Assignment, ReportConfig
 from cohortlens.functions.dates import lookup_period
+from cohortlens.operators.cohort import coverage_spans, join_cohorts
 from helpers import CURRENT, PERIODS, claim_tables, cohort_of, frame, member, window
 
 JAN, FEB = date(2020, 1, 1), date(2020, 2, 1)
@@ -143,5 +146,62 @@ def test_open_ended_windows_stay_within_the_period(spark):
         ],
     )
     calendar = cohort_of(tables).calendar
-    assert calendar.groupBy("elig_month").count().orderBy("elig_month").collect() == [(JAN, 1), (FEB, 2)]
+    assert calendar.select("elig_month", "copies").orderBy("elig_month").collect() == [(JAN, 1), (FEB, 2)]
     assert calendar.where(F.col("date_start") > F.col("date_end")).count() == 0
+
+
+def random_windows(members, seed):
+    """Windows that repeat, overlap, touch, nest, are reversed, or lack a date."""
+    draw, rows = random.Random(seed), []
+    for m in range(1, members + 1):
+        for _ in range(draw.choice([0, 1, 2, 6, 15])):
+            start = JAN + timedelta(days=draw.randrange(60))
+            row = window(m, start, start + timedelta(days=draw.choice([-2, 0, 0, 1, 5, 30, 45])))
+            row["cover_medical"] = draw.choice("YYYYN")
+            if draw.random() < 0.1:
+                row[draw.choice(["date_start", "date_end"])] = None
+            rows += [row] * draw.choice([1, 1, 2])
+    return rows
+
+
+def test_spans_count_the_windows_of_every_day(spark):
+    rows = random_windows(30, 5)
+    tables = claim_tables(spark, member_time_windows=rows)
+    expected = Counter()
+    for r in rows:
+        if r["cover_medical"] == "Y" and r["date_start"] and r["date_end"]:
+            for day in range((r["date_end"] - r["date_start"]).days + 1):
+                expected[r["member_id"], r["date_start"] + timedelta(days=day)] += 1
+    got = Counter()
+    for r in coverage_spans(tables.member_time_windows).collect():
+        for day in range((r["date_end"] - r["date_start"]).days + 1):
+            key = r["member_id"], r["date_start"] + timedelta(days=day)
+            assert key not in got  # spans are disjoint
+            got[key] = r["copies"]
+    assert got == expected and max(got.values()) > 3
+
+
+def test_a_member_with_very_many_windows_is_a_row_for_each_day_that_something_changes(spark):
+    rows = [window(1, JAN + timedelta(days=i % 20), JAN + timedelta(days=i % 20 + i % 7)) for i in range(2000)]
+    spans = coverage_spans(claim_tables(spark, member_time_windows=rows).member_time_windows).collect()
+    assert len(spans) <= 27 and sum(s["copies"] * ((s["date_end"] - s["date_start"]).days + 1) for s in spans) == sum(
+        i % 7 + 1 for i in range(2000)
+    )
+
+
+def test_joint_cohorts_mark_the_months_that_scenarios_share(spark):
+    tables = claim_tables(
+        spark,
+        time_periods=[{**PERIODS[0], "reporting_date_start": date(2019, 7, 1), "reporting_date_end": date(2020, 6, 30)}],
+        members=[member(1), member(2, assignment_indicator="N")],
+        member_time_windows=[window(m, d, d, elig_month=d) for m in (1, 2) for d in (date(2019, 12, 1), JAN)],
+        risk_scores=[{"member_id": 2, "time_period_id": 1, "risk_score": r} for r in (0.5, 0.6)],
+    )
+    configs = [CURRENT, ReportConfig(assignment=Assignment.JULY_FIRST, year_to_date=True), CURRENT]
+    joint = join_cohorts([cohort_of(tables, config) for config in configs])
+    months = {(r["member_id"], r["elig_month"]): (r["scenarios"], r["copies"]) for r in joint.status_months.collect()}
+    assert months == {(1, date(2019, 12, 1)): (0b101, 1), (1, JAN): (0b111, 1), (2, JAN): (0b010, 2)}
+    assert joint.period.start == date(2019, 7, 1) and joint.period.end == date(2020, 6, 30)
+    other = claim_tables(spark, time_periods=[{**PERIODS[0], "reporting_date_end": date(2020, 11, 30)}])
+    with pytest.raises(ValueError, match="report periods"):
+        join_cohorts([cohort_of(tables), cohort_of(other)])

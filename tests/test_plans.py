@@ -5,9 +5,12 @@ import re
 import pytest
 
 from checks.fixtures import domain_tables
-from checks.registry import REGISTRY
-from cohortlens import read_claim_tables
-from cohortlens.plans import er, inpatient, lines, outpatient, pac, snf, truncation
+from checks.registry import CURRENT, REGISTRY, SCENARIOS
+from cohortlens import build_cohort, read_claim_tables
+from cohortlens.operators.cohort import join_cohorts
+from cohortlens.operators.key_filter import key_filter, may_hold
+from cohortlens.plans import betos, er, inpatient, lines, outpatient, pac, report, snf, truncation
+from cohortlens.sources.staging import stage, stage_together
 from helpers import cohort_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,8 +45,61 @@ def final_plan(frame) -> str:
 def test_families_share_their_scans_and_stay_in_the_jvm(spark, name):
     plan = final_plan(REGISTRY[name].run(spark, SF_DIR))
     assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan)) == SCANS[name]
-    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window "):
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "rank(", "row_number("):
         assert unwanted not in plan
+    # the one window there is runs over the days on which a member's coverage changes
+    assert all("member_id" in line and "change" in line for line in plan.splitlines() if "Window " in line)
+
+
+def scans(frame) -> int:
+    return len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", final_plan(frame)))
+
+
+def test_families_of_a_report_share_one_scan_and_one_calendar_join(spark):
+    tables = domain_tables(spark, SF_DIR)
+    shared = report.claim_parts(tables, cohort_of(tables, CURRENT))["lines"]
+    assert scans(shared) == 1
+    by_day = [line for line in final_plan(shared).splitlines() if "Join [" in line and "covered_date" in line]
+    assert len(by_day) == 1
+
+
+def test_scenarios_scan_the_claims_no_more_often_than_one_report(spark):
+    tables = domain_tables(spark, SF_DIR)
+    cohorts = [build_cohort(tables, config) for config in SCENARIOS.values()]
+    alone, joint = report.claim_parts(tables, cohorts[0]), report.claim_parts(tables, join_cohorts(cohorts))
+    assert {name: scans(part) for name, part in joint.items()} == {name: scans(part) for name, part in alone.items()}
+    assert sum(scans(part) for part in alone.values()) == 7
+    for plan in (truncation.truncation_summary, betos.betos_summary):
+        assert scans(plan(tables, join_cohorts(cohorts))) == scans(plan(tables, cohorts[0])) == 1
+
+
+def test_families_read_only_what_is_staged(spark, tmp_path):
+    tables = domain_tables(spark, SF_DIR)
+    cohort = cohort_of(tables, CURRENT)
+    cohort = cohort.with_member_months(stage(cohort.member_months, str(tmp_path), "member_months"))
+    parts = stage_together(report.claim_parts(tables, cohort), str(tmp_path), "claim_parts")
+    for name, family in report.metric_families(tables, cohort, CURRENT, parts).items():
+        assert scans(family) == 0, name
+
+
+def test_lines_are_added_up_before_their_date_bases_are_told_apart(spark):
+    tables = domain_tables(spark, SF_DIR)
+    plan = final_plan(truncation.claim_amounts(tables, cohort_of(tables, CURRENT)))
+    first_sum = plan[: plan.rindex("FileScan parquet [l_orderkey")].rindex("partial_sum(costs")
+    assert "Generate inline(filter(array(" in plan[:first_sum] and "Generate inline(filter(array(" not in plan[first_sum:]
+
+
+def test_flags_are_summed_for_episodes_with_index_lines_only(spark):
+    tables = domain_tables(spark, SF_DIR)
+    cohort = cohort_of(tables, CURRENT)
+    episodes = pac.index_episodes(tables, cohort)
+    all_lines = tables.outclaims.where("pac_index_yn = 'N' AND pac_caseadmitid IS NOT NULL")
+    passed = may_hold(all_lines, "pac_caseadmitid", key_filter(episodes, "pac_caseadmitid"))
+    wanted = episodes.select("pac_caseadmitid").distinct()
+    needed = all_lines.join(wanted, "pac_caseadmitid", "left_semi").count()
+    assert needed <= passed.count() <= needed + 5 < all_lines.count() / 3
+    few = may_hold(all_lines, "pac_caseadmitid", key_filter(episodes.limit(3), "pac_caseadmitid"))
+    assert few.count() < needed / 2
 
 
 @pytest.mark.parametrize("name", ["basic_metrics", "pac_metrics", "attributed_claims_by_stay_month"])

@@ -1,14 +1,14 @@
 import csv
 import glob
 import os
-from dataclasses import fields
+from dataclasses import fields, replace
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks.fixtures import domain_tables
-from cohortlens import Assignment, ClaimTables, ReportConfig, build_report, read_claim_tables, write_report
+from cohortlens import Assignment, ClaimTables, ReportConfig, build_report, read_claim_tables, run_scenarios, write_report
 from cohortlens.plans.er import er_metrics
 from cohortlens.plans.snf import snf_metrics
 from cohortlens.sources.staging import staging_folder
@@ -154,3 +154,35 @@ def test_whole_numbers_in_doubles_are_read_as_they_are(spark, folder, tmp_path):
     claims = spark.read.parquet(f"{folder}/outclaims.parquet")
     claims.withColumn("prm_util", F.col("prm_util").cast("double")).write.parquet(f"{tmp_path}/outclaims.parquet")
     assert rows_of(read_table(spark, str(tmp_path), "outclaims").select("prm_util")) == rows_of(claims.select("prm_util"))
+
+
+def test_scenarios_have_the_rows_of_their_own_reports(spark, folder, tmp_path):
+    tables = read_claim_tables(spark, folder)
+    scenarios = {
+        "now": ReportConfig(client="One", assignment=Assignment.CURRENT),
+        "ytd": ReportConfig(client="Two", assignment=Assignment.DURING_PERIOD, year_to_date=True),
+        "same": ReportConfig(client="One", assignment=Assignment.CURRENT),
+        "other period": ReportConfig(runout_months=6, year_to_date=True),
+        "clean": ReportConfig(client="Three", additive_rollup_only=True, consolidate_usage=True),
+    }
+    joint = run_scenarios(tables, scenarios, f"{tmp_path}/joint")
+    for number, (name, config) in enumerate(scenarios.items()):
+        alone = build_report(tables, config, f"{tmp_path}/{number}")
+        for part in ("metrics", "pac_drg_summary", "betos", "truncation"):
+            whole = getattr(joint, part)
+            assert whole.columns[0] == "scenario"
+            mine = whole.where(F.col("scenario") == name).drop("scenario")
+            assert mine.columns == getattr(alone, part).columns
+            assert rows_of(mine) == rows_of(getattr(alone, part)), (name, part)
+
+
+def test_a_scenario_without_members_has_its_totals(spark, folder, tmp_path):
+    tables = read_claim_tables(spark, folder)
+    nobody = replace(tables, members=tables.members.withColumn("mem_report_hier_2", F.lit("N")))
+    scenarios = {
+        "some": ReportConfig(assignment=Assignment.CURRENT), "none": ReportConfig(assignment=Assignment.JULY_FIRST)
+    }
+    joint = run_scenarios(nobody, scenarios, f"{tmp_path}/joint").metrics
+    alone = build_report(nobody, scenarios["none"], f"{tmp_path}/alone").metrics
+    assert rows_of(joint.where("scenario = 'none'").drop("scenario")) == rows_of(alone)
+    assert alone.count() == 2
