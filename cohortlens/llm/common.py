@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +20,58 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only for a local session that has none set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor share")
-    return tempfile.gettempdir() + "/llm-scratch"
+    """Where scratch tables go: the folder of the run that is open, or else one of the application's own.
+
+    Both are below ``spark.checkpoint.dir``. Only a local session that has none set uses a temporary folder, which is
+    removed when Python ends.
+    """
+    if run := _run_folder.get():
+        return run
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor share")
+        root = local_scratch()
+    return f"{root.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+
+
+@cache
+def local_scratch() -> str:
+    folder = tempfile.mkdtemp(prefix="llm-scratch-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the scratch tables that are written inside; gone at the end, with all that reads it."""
+    folder = f"{scratch_folder(spark)}/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever Spark's file systems have it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of the application, when no frame of this package is to be used any more."""
+    remove(spark, scratch_folder(spark))
 
 
 def stage(df: DataFrame, name: str, *split_by: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` to a new scratch table and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     folder = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*split_by).parquet(folder)

@@ -22,13 +22,15 @@ SLOTS = 1024
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, text_key, points (code points) and the SHA-256 of the text without white space."""
+    """Per row: doc_id, text_key, points (code points), the SHA-256 of the text without white space, and place, a number
+    that no other row has."""
     text = whole_text()
     return docs.select(
         "doc_id",
         text_key().alias("text_key"),
         F.length(text).alias("points"),
         F.unhex(F.sha2(F.translate(text, SPACES, ""), 256)).alias("digest"),
+        F.monotonically_increasing_id().alias("place"),
     )
 
 
@@ -61,10 +63,11 @@ def exact_duplicates(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """A row for each row of docs: doc_id, text_key, digest, keep_id, group_size, kept.
 
     The row with the most code points, then the smallest doc_id stays (null ids last); of rows that repeat it, one.
-    A null text is an empty one; white space alone equals an empty text. No rows give no rows.
+    A null text is an empty one; white space alone equals an empty text. No rows give no rows. The one row that stays of a
+    frequent group is the only one of it that is shuffled, also where rows repeat an id (or none) and a text.
     """
     rows = stage(digests(docs), "digests")
-    winner = F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id", "text_key"))
+    winner = F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id", "text_key", "place"))
     candidates = F.broadcast(frequent(rows, slots))  # at most ``slots`` rows of 32 bytes
     verified = (
         rows.join(candidates, "digest")
@@ -73,15 +76,13 @@ def exact_duplicates(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
         .select(
             "digest",
             F.col("winner.doc_id").alias("heavy_id"),
-            F.col("winner.text_key").alias("heavy_key"),
+            F.col("winner.place").alias("heavy_place"),
             F.col("size").alias("heavy_size"),
         )
     )
     heavy = stage(verified, "frequent")
     marked = rows.join(F.broadcast(heavy), "digest", "left")  # at most ``slots`` rows
-    beaten = F.col("heavy_size").isNotNull() & ~(
-        F.col("doc_id").eqNullSafe(F.col("heavy_id")) & (F.col("text_key") == F.col("heavy_key"))
-    )
+    beaten = F.col("heavy_size").isNotNull() & (F.col("place") != F.col("heavy_place"))
     columns = ("doc_id", "text_key", "digest")
     removed = marked.where(beaten).select(
         *columns,

@@ -39,8 +39,7 @@ def sample(docs: DataFrame, docs_each: int = SAMPLE_DOCS, windows: int = SAMPLE_
     spread over its whole text."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out())
     share = F.least(F.lit(1.0), F.lit(2.0 * docs_each) / F.count(F.lit(1)))
-    # a row per language, of which the network has an output each
-    shares = F.broadcast(known.groupBy(F.col("lang").alias("of")).agg(share.alias("share")))
+    shares = known.groupBy(F.col("lang").alias("of")).agg(share.alias("share"))
     place = F.xxhash64("doc_id", "text")
     length = F.length("text")
     several = F.least(F.lit(windows), F.ceil(length / WINDOW)).cast("int")

@@ -42,6 +42,22 @@ def test_a_hot_digest_is_decided_before_the_shuffle(spark):
     assert sorted(r[0] for r in kept.select("doc_id").collect()) == [0, *range(1000, 1300)]
 
 
+def test_a_hot_text_without_ids_sends_one_row_to_the_shuffle(spark):
+    rows = [(None, "copy")] * 400 + [(5, "co py")] * 3 + [(i, f"text {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    marks = exact_dedup.exact_duplicates(docs, 2)
+    got = Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in marks.where("group_size > 1").collect())
+    assert got == {(None, 5, 403, False): 400, (5, 5, 403, False): 2, (5, 5, 403, True): 1}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    shuffled = plan[plan.index("Window [") :]
+    assert "place" in shuffled[: shuffled.index("FileScan")]  # rows are told apart before the exchange of the window
+    nulls = spark.createDataFrame([(None, "copy")] * 200, "doc_id bigint, text string")
+    assert [r["kept"] for r in exact_dedup.exact_duplicates(nulls, 1).collect()].count(True) == 1
+    assert exact_dedup.drop_exact_duplicates(nulls, 1).count() == 1
+
+
 def test_exact_stage_keeps_one_row_of_each_group_and_all_columns(docs, no_docs):
     kept = exact_dedup.drop_exact_duplicates(docs)
     assert kept.columns == docs.columns
