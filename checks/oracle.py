@@ -658,9 +658,24 @@ def claim_months_sql() -> str:
 
 
 COLLAPSED_SQL = """
-    SELECT member_id, elig_month, sum(memmos_medical) AS memmos, max_by(elig_status_1, date_end) AS elig_status
+    SELECT member_id, elig_month, sum(memmos_medical) AS memmos,
+      first(elig_status_1 ORDER BY date_end DESC NULLS LAST, date_start DESC NULLS LAST, elig_status_1 DESC NULLS LAST) AS elig_status
     FROM member_time_windows JOIN period ON elig_month BETWEEN lo AND hi GROUP BY member_id, elig_month
 """
+# Every day on which a window starts or has ended, and how many windows hold the days up to the next such day.
+SPANS_SQL = """
+    SELECT * FROM (
+    WITH held AS (SELECT * FROM spans WHERE date_start <= date_end),
+    days AS (SELECT DISTINCT member_id, day FROM (
+      SELECT member_id, date_start AS day FROM held UNION ALL SELECT member_id, date_end + 1 FROM held)),
+    stretches AS (SELECT member_id, day, lead(day) OVER (PARTITION BY member_id ORDER BY day) - 1 AS last FROM days),
+    counted AS (SELECT s.member_id, s.day, s.last, count(h.member_id) AS copies FROM stretches s
+      LEFT JOIN held h ON h.member_id = s.member_id AND s.day BETWEEN h.date_start AND h.date_end GROUP BY ALL),
+    joined AS (SELECT *, copies IS DISTINCT FROM lag(copies) OVER (PARTITION BY member_id ORDER BY day) AS fresh FROM counted),
+    runs AS (SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY member_id ORDER BY day) AS run FROM joined)
+    SELECT member_id, min(day) AS date_start, max(last) AS date_end, CAST(any_value(copies) AS BIGINT) AS copies
+    FROM runs WHERE copies > 0 GROUP BY member_id, run) s
+"""
 COVERAGE_SQL = """
     SELECT member_id, date_start, date_end, CAST(count(*) AS BIGINT) AS copies FROM spans
     GROUP BY member_id, date_start, date_end

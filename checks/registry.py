@@ -73,6 +73,7 @@ register(
 )
 register("period_risk_scores", lambda t, c: cohorts.period_risk_scores(t.risk_scores, c.period), oracle.RISK_SQL)
 register("coverage_windows", lambda t, c: c.windows, oracle.COVERAGE_SQL)
+register("coverage_spans", lambda t, c: c.spans, oracle.SPANS_SQL)
 
 # --- attribution --------------------------------------------------------------------------------
 
