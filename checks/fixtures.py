@@ -212,6 +212,22 @@ SPARK_ONLY = {
         LATERAL VIEW explode(array('<0.50','0.50-0.59','0.60-0.69','0.70-0.79','0.80-0.89','0.90-0.99',
           '1.00-1.09','1.10-1.19','1.20-1.34','1.35-1.49','1.50-1.74','1.75-2.00','>2.00')) c AS band
     """,
+    "decor_case": """
+        SELECT o_custkey AS member_id, o_orderkey AS caseadmitid,
+          CAST(CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS prm_nyu_emergent_non_avoidable,
+          CAST(CASE WHEN o_orderkey % 5 = 1 THEN 0.5 ELSE 0 END AS DOUBLE) AS prm_nyu_emergent_avoidable,
+          CAST(CASE WHEN o_orderkey % 5 = 1 THEN 0.5 ELSE 0 END AS DOUBLE) AS prm_nyu_emergent_primary_care,
+          CAST(CASE WHEN o_orderkey % 5 = 2 THEN 1 ELSE 0 END AS DOUBLE) AS prm_nyu_injury,
+          CAST(CASE WHEN o_orderkey % 5 = 3 THEN 1 ELSE 0 END AS DOUBLE) AS prm_nyu_nonemergent
+        FROM orders LATERAL VIEW explode(CASE WHEN o_orderkey % 31 = 3 THEN array(1, 2) ELSE array(1) END) t AS nth
+        WHERE o_orderkey % 5 < 4
+    """,
+    "ref_pac_benchmarks": """
+        SELECT CAST(p_size AS STRING) AS msdrg,
+          CASE WHEN p_size % 4 <> 0 THEN CAST(p_size AS DOUBLE) / 100 END AS benchmarks_pac_freq_wm_readm
+        FROM (SELECT DISTINCT p_size FROM part) AS d
+        LATERAL VIEW explode(CASE WHEN p_size % 10 = 7 THEN array(1, 2) ELSE array(1) END) t AS nth
+    """,
 }
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -17,7 +20,8 @@ from cohortlens.operators import attribution, cohort as cohorts, cost, episodes,
 from cohortlens.operators.cohort import Cohort, build_cohort
 from cohortlens.plans import basic, betos, eol, er, inpatient, lines, outpatient, pac, report, snf, truncation
 from cohortlens.sources.staging import CHECKPOINT_DIR, staging_folder
-from cohortlens.sources.tables import ClaimTables
+from cohortlens.sources.store import read_claim_store, save_claim_store
+from cohortlens.sources.tables import ClaimTables, read_claim_tables
 
 CLIENT = "Sample Client"
 CURRENT = ReportConfig(client=CLIENT, assignment=Assignment.CURRENT)
@@ -313,13 +317,34 @@ def run_folder(spark: SparkSession) -> str:
     """The session's shared folder; where a local session names none, a temporary one."""
     if spark.conf.get(CHECKPOINT_DIR, None) or not spark.sparkContext.master.startswith("local["):
         return staging_folder(spark)
-    return tempfile.mkdtemp(prefix="cohortlens-")
+    folder = tempfile.mkdtemp(prefix="cohortlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def report_metrics(config: ReportConfig) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: report.build_report(domain_tables(spark, sf_dir), config, run_folder(spark)).metrics
 
 
+def from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line measures over tables that were written as files and are read back by the library's reader."""
+    folder = run_folder(spark)
+    for name, frame in vars(domain_tables(spark, sf_dir)).items():
+        frame.write.parquet(f"{folder}/{name}.parquet")
+    tables = read_claim_tables(spark, folder, reference_folder=folder)
+    return lines.line_metrics(tables, build_cohort(tables, CURRENT))
+
+
+def from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line measures over claims that were bucketed by member."""
+    folder, prefix = run_folder(spark), f"store_{uuid.uuid4().hex}_"
+    save_claim_store(domain_tables(spark, sf_dir), folder, prefix, buckets=8)
+    tables = read_claim_store(spark, folder, prefix)
+    return lines.line_metrics(tables, build_cohort(tables, CURRENT))
+
+
+REGISTRY["lines_metrics_from_files"] = Query(from_files, oracle.full(oracle.family("lines")))
+REGISTRY["lines_metrics_from_store"] = Query(from_store, oracle.full(oracle.family("lines")))
 REGISTRY["metrics_report"] = Query(report_metrics(CURRENT), oracle.full(oracle.report_sql(CLIENT, LABEL)))
 REGISTRY["metrics_report_additive"] = Query(
     report_metrics(replace(CURRENT, additive_rollup_only=True)),

@@ -48,11 +48,17 @@ BY_STAY_DATE = AttributionPolicy("stay", "stay")
 BY_STAY_MONTH = AttributionPolicy("stay", "line")
 
 
-def in_cohort_months(claims: DataFrame, cohort: Coverage, policy: AttributionPolicy) -> DataFrame:
-    """Drop lines that cannot fall in a cohort month; written on raw columns so that it reaches the scan."""
+def can_fall_in(cohort: Coverage, policy: AttributionPolicy) -> Column:
+    """Whether a line can fall in a cohort month; written on raw columns so that it reaches the scan."""
     first, last = cohort.first_day, cohort.last_day
     line, case = (F.col(c).between(first, last) for c in ("prm_fromdate", "prm_fromdate_case"))
-    return claims.where({"line": line, "case": case, "stay": line | case}[policy.month_by])
+    stay = line | ((F.col("prm_line") == SNF_LINE) & case)  # only these lines are dated by their case
+    return {"line": line, "case": case, "stay": stay}[policy.month_by]
+
+
+def in_cohort_months(claims: DataFrame, cohort: Coverage, policy: AttributionPolicy) -> DataFrame:
+    """Drop lines that cannot fall in a cohort month."""
+    return claims.where(can_fall_in(cohort, policy))
 
 
 def attribute(lines: DataFrame, cohort: Coverage, policy: AttributionPolicy) -> DataFrame:

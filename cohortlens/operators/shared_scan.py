@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import SNF_LINE
 from cohortlens.functions.dates import month_of
-from cohortlens.operators.attribution import BY_STAY_DATE, AttributionPolicy, attribute, attributed_sums, in_cohort_months
+from cohortlens.operators.attribution import (
+    BY_LINE_DATE,
+    BY_STAY_DATE,
+    AttributionPolicy,
+    attribute,
+    attributed_sums,
+    can_fall_in,
+)
 from cohortlens.operators.cohort import Coverage, status_keys
 
 MASK = "families"
@@ -95,13 +102,17 @@ def merged(expressions: Sequence[dict[str, str]]) -> dict[str, str]:
 
 
 def in_reach(claims: DataFrame, cohort: Coverage, families: Sequence[LineFamily]) -> DataFrame:
-    """Lines that some family reads and whose date can fall in a cohort month, on raw columns so that it reaches the scan."""
-    policies = {f.policy for f in families}
-    claims = in_cohort_months(claims, cohort, policies.pop() if len(policies) == 1 else BY_STAY_DATE)
-    conditions = [f.where for f in families]
-    if "true" in conditions:
-        return claims
-    return claims.where(reduce(lambda some, one: some | one, [F.expr(f"({c})") for c in conditions]))
+    """Lines that some family reads and whose date for it can fall in a cohort month."""
+    by_policy: dict[AttributionPolicy, list[str]] = {}
+    for family in families:
+        by_policy.setdefault(family.policy, []).append(family.where)
+    if "true" in by_policy.get(BY_STAY_DATE, []):
+        by_policy.pop(BY_LINE_DATE, None)  # the lines of these are among those
+    conditions = [
+        can_fall_in(cohort, policy) & F.expr("true" if "true" in some else " OR ".join(f"({where})" for where in some))
+        for policy, some in by_policy.items()
+    ]
+    return claims.where(reduce(lambda some, one: some | one, conditions))
 
 
 def dated_lines(claims: DataFrame, families: Sequence[LineFamily]) -> DataFrame:

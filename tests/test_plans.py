@@ -3,15 +3,18 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.fixtures import domain_tables
 from checks.registry import CURRENT, REGISTRY, SCENARIOS
 from cohortlens import build_cohort, read_claim_tables
 from cohortlens.operators.cohort import join_cohorts
 from cohortlens.operators.key_filter import key_filter, may_hold
-from cohortlens.plans import betos, er, inpatient, lines, outpatient, pac, report, snf, truncation
+from cohortlens.plans import basic, betos, er, inpatient, lines, outpatient, pac, report, snf, truncation
+from cohortlens.sources.sinks import save_table
 from cohortlens.sources.staging import stage, stage_together
-from helpers import cohort_of
+from cohortlens.sources.store import read_claim_store, save_claim_store
+from helpers import cohort_of, metric_list
 
 SF_DIR = "/root/testdata/sf0.001"
 # Scans of the claims a plan may make.
@@ -141,3 +144,38 @@ def test_scans_read_only_the_columns_they_need(spark, tables):
     (schema,) = [s for s in re.findall(r"ReadSchema: struct<(.*?)>", text) if "prm_costs" in s]
     assert {c.split(":")[0] for c in schema.split(",")} >= {"member_id", "prm_line", "prm_costs"}
     assert schema.count(":") == 7
+
+
+def test_bucketed_claims_meet_the_calendar_where_they_lie(spark, tmp_path):
+    derived = domain_tables(spark, SF_DIR)
+    save_claim_store(derived, str(tmp_path), "plan_test_", buckets=16)
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = read_claim_store(spark, str(tmp_path), "plan_test_")
+        for plan, joins in ((lines.line_metrics, 1), (basic.costs, 2)):
+            frame = plan(tables, cohort_of(tables, CURRENT))
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            before = text[: text.index("FileScan parquet spark_catalog.default.plan_test_outclaims")].splitlines()
+            # up from the scan: the sums per day, and the joins to months and spans of days, without an exchange
+            up, depth = [], float("inf")
+            for line in reversed(before):
+                at = len(line) - len(line.lstrip(" :+-*"))
+                if at < depth:
+                    up.append(line.strip(" :+-*"))
+                    depth = at
+            first_exchange = next(i for i, line in enumerate(up) if line.startswith("Exchange"))
+            assert sum("SortMergeJoin" in line for line in up[:first_exchange]) == joins
+        assert metric_list(frame) == metric_list(basic.costs(derived, cohort_of(derived, CURRENT)))
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE plan_test_outclaims")
+
+
+def test_writing_few_files_leaves_the_stage_before_it_its_tasks(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 16).select((F.col("id") % 7).alias("k"), "id")
+    save_table(rows, f"{tmp_path}/few", max_files=3)
+    assert 1 <= len(list((tmp_path / "few").glob("part-*"))) <= 3 and spark.read.parquet(f"{tmp_path}/few").count() == 1000
+    plan = rows.hint("rebalance", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_NONE" in plan and "Coalesce" not in plan

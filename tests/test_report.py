@@ -11,6 +11,7 @@ from checks.fixtures import domain_tables
 from cohortlens import Assignment, ClaimTables, ReportConfig, build_report, read_claim_tables, run_scenarios, write_report
 from cohortlens.plans.er import er_metrics
 from cohortlens.plans.snf import snf_metrics
+from cohortlens.sources.sinks import export_text
 from cohortlens.sources.staging import staging_folder
 from cohortlens.sources.tables import read_table
 from helpers import cohort_of, metric_list
@@ -186,3 +187,17 @@ def test_a_scenario_without_members_has_its_totals(spark, folder, tmp_path):
     alone = build_report(nobody, scenarios["none"], f"{tmp_path}/alone").metrics
     assert rows_of(joint.where("scenario = 'none'").drop("scenario")) == rows_of(alone)
     assert alone.count() == 2
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_text_of_many_tasks_is_one_file_in_order(spark, tmp_path, parts):
+    rows = spark.range(0, 500, 1, parts).select("id", F.expr("if(id % 9 = 0, 'a|b \"c\"', '')").alias("odd|name"))
+    export_text(rows, f"{tmp_path}/one.txt")
+    assert [name for name in os.listdir(f"{tmp_path}/one.txt") if name.startswith("part-")] == ["part-00000.csv"]
+    with open(f"{tmp_path}/one.txt/part-00000.csv", newline="") as lines:
+        header, *found = csv.reader(lines, delimiter="|", escapechar="\\")
+    assert header == ["id", "odd|name"] and found == [[str(i), 'a|b "c"' if i % 9 == 0 else ""] for i in range(500)]
+    export_text(rows.limit(0), f"{tmp_path}/none.txt", header=False)
+    assert open(f"{tmp_path}/none.txt/part-00000.csv").read() == ""
+    export_text(rows, f"{tmp_path}/many.txt", single_file=False)
+    assert len([name for name in os.listdir(f"{tmp_path}/many.txt") if name.startswith("part-")]) == parts
