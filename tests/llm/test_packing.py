@@ -6,6 +6,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from cohortlens.llm import packing, token_matrices, tokens
+from cohortlens.llm.queries import QUERIES
 from tests.llm.corpus import corpus
 
 
@@ -91,3 +92,29 @@ def test_matrices_give_the_documents_back(docs, no_docs):
         assert [i for start in sorted(got[doc_id]) for i in got[doc_id][start][0]] == plain_ids(text)
     assert max(len(x) for x in got[50].values()) == 3
     assert token_matrices.token_matrices(no_docs).count() == 0
+
+
+def test_the_registered_matrices_give_all_documents_back(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    parts, sequences, tokens_held = defaultdict(dict), 0, 0
+    for m in QUERIES["op1_token_matrices"](spark, sf_dir).collect():
+        assert m["capacity"] == token_matrices.CAPACITY and m["n_sequences"] <= token_matrices.MATRIX_ROWS
+        ids = np.frombuffer(m["ids"], f"<u{m['id_bytes']}").reshape(m["n_sequences"], m["capacity"])
+        positions = np.frombuffer(m["positions"], "<u2").reshape(ids.shape)
+        sequences += m["n_sequences"]
+        for row, (ends, segments) in enumerate(zip(m["cu_seqlens"], m["segments"], strict=True)):
+            for a, b, s in zip(ends[:-1], ends[1:], segments, strict=True):
+                assert s["length"] == b - a and s["start"] not in parts[s["doc_id"]]
+                assert positions[row, a:b].tolist() == list(range(b - a))
+                parts[s["doc_id"]][s["start"]] = ids[row, a:b].tolist()
+                tokens_held += b - a
+            assert not ids[row, ends[-1] :].any() and not positions[row, ends[-1] :].any()
+    whole = {}
+    for doc_id, pieces in parts.items():
+        whole[doc_id] = []
+        for start in sorted(pieces):
+            assert start == len(whole[doc_id])
+            whole[doc_id] += pieces[start]
+    assert whole == {doc_id: plain_ids(text) for doc_id, text in texts.items()}
+    assert sequences <= -(-tokens_held // token_matrices.CAPACITY) * 1.05 + 2
