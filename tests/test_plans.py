@@ -131,6 +131,8 @@ def tables(spark, tmp_path_factory):
         (er.er_metrics, ["StringStartsWith(prm_line,O11)", "GreaterThanOrEqual(prm_fromdate,1999-01-01)"]),
         (pac.pac_metrics, ["EqualTo(pac_index_yn,Y)", "EqualTo(pac_index_yn,N)"]),
         (truncation.truncation_summary, ["Or(And(GreaterThanOrEqual(prm_fromdate,1999-01-01)"]),
+        (basic.wellness_visits, ["In(hcpcs, [G0402,G0438,G0439,G0468])", "LessThanOrEqual(prm_fromdate,1999-12-31)"]),
+        (lines.line_metrics, ["And(EqualTo(prm_line,I31),And(GreaterThanOrEqual(prm_fromdate_case,1999-01-01)"]),
     ],
 )
 def test_filters_reach_the_claims_scan(spark, tables, plan, filters):
@@ -179,3 +181,12 @@ def test_writing_few_files_leaves_the_stage_before_it_its_tasks(spark, tmp_path)
     assert 1 <= len(list((tmp_path / "few").glob("part-*"))) <= 3 and spark.read.parquet(f"{tmp_path}/few").count() == 1000
     plan = rows.hint("rebalance", 3)._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_NONE" in plan and "Coalesce" not in plan
+
+
+def test_members_are_counted_with_one_exchange_by_member(spark, tmp_path):
+    tables = domain_tables(spark, SF_DIR)
+    cohort = cohort_of(tables, CURRENT)
+    cohort = cohort.with_member_months(stage(cohort.member_months, str(tmp_path), "member_months"))
+    plan = basic.assigned_members(cohort)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?), 8\)", re.sub(r"#\d+L?", "", plan))
+    assert exchanges == ["elig_status", "statuses", "member_id"]  # the first two are of one row for each set of statuses
