@@ -80,10 +80,12 @@ class Cohort(Coverage):
 
     @cached_property
     def status_months(self) -> DataFrame:
-        """A member has one status in a month; a member with several risk scores has the month as many times."""
-        return self.covered_months.groupBy("member_id", "elig_month").agg(
-            F.max("elig_status").alias("elig_status"), F.count(F.lit(1)).alias("copies")
-        )
+        """A member has one status in a month; a member with several risk scores has the month as many times.
+
+        The rows are not added up: a sum by member and month would stand in the stage of the join that follows it, and
+        Spark could not split the claims of a member who has very many.
+        """
+        return self.covered_months.select("member_id", "elig_month", "elig_status", F.lit(1).cast("bigint").alias("copies"))
 
     def expanded(self, rows: DataFrame) -> DataFrame:
         return rows
@@ -112,9 +114,10 @@ class JointCohort(Coverage):
 
     @cached_property
     def status_months(self) -> DataFrame:
-        each = [c.status_months.withColumn("bit", F.lit(1 << at).cast("bigint")) for at, c in enumerate(self.cohorts)]
-        months = reduce(DataFrame.unionByName, each)
-        return months.groupBy("member_id", "elig_month", "elig_status", "copies").agg(F.bit_or("bit").alias("scenarios"))
+        key = ["member_id", "elig_month", "elig_status"]
+        bits = [c.status_months.withColumn("bit", F.lit(1 << at).cast("bigint")) for at, c in enumerate(self.cohorts)]
+        each = reduce(DataFrame.unionByName, bits).groupBy(*key, "bit").agg(F.sum("copies").alias("copies"))
+        return each.groupBy(*key, "copies").agg(F.bit_or("bit").alias("scenarios"))
 
     @cached_property
     def member_months(self) -> DataFrame:
