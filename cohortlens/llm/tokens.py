@@ -19,8 +19,8 @@ BLOCK_DOCS = 128  # documents whose unknown words are encoded together
 BLOCK_BYTES = 2 << 20  # longer blocks and texts are encoded in parts
 WORD_END = "</w>"
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-# A word and the ASCII marks after it, which the tokenizer takes as one more word; apostrophes can be part of either.
-MARKED = re.compile(rb"(.*?)([!-&(-/:-@\[-`{-~]*)", re.DOTALL)
+# ASCII marks: those after a word are one more word to the tokenizer. Apostrophes, which can be part of either, are not here.
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
 
 
 class Encoder:
@@ -56,7 +56,8 @@ class Encoder:
         """The ids of words; those short enough are remembered."""
         found, letters, stems = {}, {}, {}
         for word in words:
-            stem, mark = MARKED.fullmatch(word).groups()
+            stem = word.rstrip(MARKS)
+            mark = word[len(stem) :]
             if not (text := stem.decode()).isalpha() or len(word) > CACHED_BYTES:
                 found[word] = self.ids(word.decode()).tobytes()
                 continue
