@@ -53,33 +53,32 @@ class Encoder:
             self.tokenizer.encode_special_tokens = True
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words; those short enough are remembered."""
-        found, letters, stems = {}, {}, {}
+        """The ids of words that are too long to be remembered; those of all others are, from now on."""
+        letters, marked, odd = {}, [], {}
         for word in words:
             stem = word.rstrip(MARKS)
-            mark = word[len(stem) :]
-            if not (text := stem.decode()).isalpha() or len(word) > CACHED_BYTES:
-                found[word] = self.ids(word.decode()).tobytes()
+            if len(word) > CACHED_BYTES or not (stem.isalpha() or stem.decode().lower().isalpha()):
+                odd[word] = self.ids(word.decode()).tobytes()
                 continue
-            stems[word] = stem, mark
             if stem not in self.known:
-                letters[stem] = text
-            if mark and mark not in self.known:
-                self.known[mark] = self.ids(mark.decode()).tobytes()
+                letters[stem] = None
+            if len(stem) < len(word):
+                marked.append((word, stem))
         if letters:
-            ids = self.ids(" ".join(letters.values()))
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            ids = self.ids(b" ".join(letters).decode())
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * ID_BYTES
             if len(ends) == len(letters):  # each has at least one, so exactly one
-                data, at = ids.tobytes(), 0
-                for stem, end in zip(letters, (ends * ID_BYTES).tolist(), strict=True):
-                    found[stem], at = data[at:end], end
-            else:  # lower case can be more than letters
-                found.update((stem, self.ids(text).tobytes()) for stem, text in letters.items())
-        for word, (stem, mark) in stems.items():
-            if mark:
-                found[word] = (self.known.get(stem) or found[stem]) + self.known[mark]
-        self.known.update((word, ids) for word, ids in found.items() if len(word) <= CACHED_BYTES)
-        return found
+                data, ends = ids.tobytes(), ends.tolist()
+                self.known.update(zip(letters, [data[at:end] for at, end in zip([0, *ends], ends)]))
+            else:  # the tokenizer's own normalisation can be more than letters
+                self.known.update((stem, self.ids(stem.decode()).tobytes()) for stem in letters)
+        for word, stem in marked:
+            mark = word[len(stem) :]
+            if mark not in self.known:
+                self.known[mark] = self.ids(mark.decode()).tobytes()
+            self.known[word] = self.known[stem] + self.known[mark]
+        self.known.update((word, ids) for word, ids in odd.items() if len(word) <= CACHED_BYTES)
+        return {word: ids for word, ids in odd.items() if len(word) > CACHED_BYTES}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of texts that are short enough to be taken together."""
@@ -87,16 +86,15 @@ class Encoder:
             self.known.clear()
         whole = {i for i, text in enumerate(texts) if any(token in text for token in self.special)}
         block = [[] if i in whole else text.lower().split() for i, text in enumerate(texts)]
-        parts = [list(map(self.known.get, words)) for words in block]
-        new = {w for words, ids in zip(block, parts) if None in ids for w, known in zip(words, ids) if known is None}
-        found = self.learn(new) if new else {}
-        for i, (words, ids) in enumerate(zip(block, parts)):
-            if i in whole:
-                yield self.with_special(texts[i].decode())
-                continue
-            if None in ids:
-                ids = [found[w] if known is None else known for w, known in zip(words, ids)]
-            yield b"".join(ids)
+        new = set().union(*block).difference(self.known)
+        long = self.learn(new) if new else {}
+        self.known.update(long)
+        try:
+            for i, words in enumerate(block):
+                yield self.with_special(texts[i].decode()) if i in whole else b"".join(map(self.known.__getitem__, words))
+        finally:
+            for word in long:
+                del self.known[word]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -119,7 +117,7 @@ def encoded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[tuple[obje
             if sum(map(len, texts)) <= BLOCK_BYTES:
                 ids = encode(texts)
             else:
-                ids = (b"".join(next(encode([piece])) for piece in pieces(text)) for text in texts)
+                ids = (b"".join(ids for piece in pieces(text) for ids in encode([piece])) for text in texts)
             for doc_id, own in zip(part.column(0).to_pylist(), ids, strict=True):
                 yield doc_id, own + end
 

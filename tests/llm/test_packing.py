@@ -22,13 +22,24 @@ def plain_ids(text):
 
 
 def test_ids_are_the_tokenizers():
-    odd = ["a b", "O'Neil's  re, it's. 's", "é x", "İSTANBUL ΣΑΣ.", "<|endoftext|> hi", "\x1ca\x85b", "ab..c. (d),", "", " "]
+    odd = ["a b", "O'Neil's  re, it's. 's", "é x", "İSTANBUL ΣΑΣ.", "aİ. İ, İ", "<|endoftext|> hi", "\x1ca\x85b", "ab..c. (d),", "", " "]
     texts = [t for t in odd + [r[1] or "" for r in corpus()]]
     assert [np.frombuffer(i, "<u4").tolist() + [0] for i in tokens.Encoder().encode([t.encode() for t in texts])] == [
         plain_ids(t) for t in texts
     ]
 
 
+def test_words_too_long_to_be_remembered_are_forgotten():
+    encoder, long = tokens.Encoder(), b"q" * 70
+    texts = [long + b", a b", b"a " + long, b"c " * 5 + long + b"!"]
+    plain = [plain_ids(t.decode())[:-1] for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(texts)] == plain
+        assert max(map(len, encoder.known)) <= tokens.CACHED_BYTES
+    one = next(encoder.encode(texts))  # the others are never asked for
+    assert np.frombuffer(one, "<u4").tolist() == plain[0] and long not in encoder.known
+
+
 def test_long_texts_are_encoded_in_parts(monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK_BYTES", 50)
     text = ("some words, " * 40).encode()
