@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import whole_text
+from cohortlens.llm.common import stage, whole_text
 
 HIDDEN = 8
 WINDOW = 96  # bytes read from a fresh state, in training and in use
@@ -25,6 +25,7 @@ UNKNOWN = "und"
 
 # Bounds of the training sample: documents of each language, and windows of each document.
 SAMPLE_DOCS = 400
+BROADCAST_LANGUAGES = 10_000  # with more, documents are shuffled to meet their language's share
 SAMPLE_WINDOWS = 8
 STEPS, BATCH, RATE = 400, 192, 0.02
 
@@ -39,7 +40,9 @@ def sample(docs: DataFrame, docs_each: int = SAMPLE_DOCS, windows: int = SAMPLE_
     spread over its whole text."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out())
     share = F.least(F.lit(1.0), F.lit(2.0 * docs_each) / F.count(F.lit(1)))
-    shares = known.groupBy(F.col("lang").alias("of")).agg(share.alias("share"))
+    shares = stage(known.groupBy(F.col("lang").alias("of")).agg(share.alias("share")), "shares")
+    if shares.count() <= BROADCAST_LANGUAGES:
+        shares = F.broadcast(shares)
     place = F.xxhash64("doc_id", "text")
     length = F.length("text")
     several = F.least(F.lit(windows), F.ceil(length / WINDOW)).cast("int")
