@@ -66,7 +66,7 @@ def attribute(lines: DataFrame, cohort: Coverage, policy: AttributionPolicy) ->
 
     Adds the cohort's ``status_columns`` and ``copies``, the times that the row counts: once for each coverage window
     that holds the date, in each row that the member has of the month. A row meets one span of days, and one row of the
-    calendar for each of the statuses.
+    calendar for each of the statuses. Months and spans are sort-merged, as they are in the calendar.
     """
     if policy.single_date:
         calendar = cohort.calendar.withColumnsRenamed({"member_id": "_member", "elig_month": "_month"})
@@ -80,8 +80,8 @@ def attribute(lines: DataFrame, cohort: Coverage, policy: AttributionPolicy) ->
 
     months = cohort.status_months.withColumnsRenamed({"elig_month": "claim_month", "copies": "month_copies"})
     spans = bucketed_spans(cohort).withColumnsRenamed({"member_id": "_member", "bucket": "_bucket"})
-    matched = lines.join(months, ["member_id", "claim_month"]).join(
-        spans,
+    matched = lines.join(months.hint("merge"), ["member_id", "claim_month"]).join(
+        spans.hint("merge"),
         (F.col("member_id") == F.col("_member"))
         & (period_bucket(cohort, F.col("covered_date")) == F.col("_bucket"))
         & F.col("covered_date").between(F.col("date_start"), F.col("date_end")),

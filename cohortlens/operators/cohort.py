@@ -175,7 +175,11 @@ def build_cohort(tables: ClaimTables, config: ReportConfig) -> Cohort:
 
 
 def build_member_months(tables: ClaimTables, period: ReportingPeriod, assignment: Assignment) -> DataFrame:
-    """One row per cohort member and month: status, covered share of the month, risk score, coverage flag."""
+    """One row per cohort member and month: status, covered share of the month, risk score, coverage flag.
+
+    Members and scores are as long as the member list: Catalyst, which goes by the compressed files, would collect them on
+    the driver to broadcast them. The months lie by member already, so sort-merging shuffles no more than those two.
+    """
     windows = tables.member_time_windows.where(period.holds("elig_month"))
     if assignment is Assignment.DURING_PERIOD:
         windows = windows.where(F.col("assignment_indicator") == "Y")
@@ -183,9 +187,9 @@ def build_member_months(tables: ClaimTables, period: ReportingPeriod, assignment
     months = collapse_windows(windows).where(F.col("elig_status") != UNKNOWN_STATUS)
     assigned = assigned_members(tables.members, assignment)
     if assigned is not None:
-        months = months.join(assigned, "member_id")
+        months = months.join(assigned.hint("merge"), "member_id")
 
-    return months.join(period_risk_scores(tables.risk_scores, period), "member_id", "left").select(
+    return months.join(period_risk_scores(tables.risk_scores, period).hint("merge"), "member_id", "left").select(
         "member_id",
         "elig_month",
         "elig_status",
@@ -269,6 +273,9 @@ def coverage_calendar(cohort: Coverage) -> DataFrame:
     This turns date-range attribution into an equi-join on (member, month) with a day check, for claims whose
     month and coverage date are the same date. Spans are clipped to the period before they are cut, so an
     open-ended one costs no more rows than the period has months.
+
+    Catalyst does not count the rows that an explode adds, nor how well months compress in files, and would broadcast
+    a side with a row for every member and month. Hence the sort-merge join.
     """
     starts = F.greatest(F.col("date_start"), cohort.first_day)
     ends = F.least(F.col("date_end"), cohort.last_day)
@@ -278,7 +285,7 @@ def coverage_calendar(cohort: Coverage) -> DataFrame:
     )
     months = cohort.status_months.withColumnRenamed("copies", "month_copies")
     return (
-        by_month.join(months, ["member_id", "elig_month"])
+        by_month.join(months.hint("merge"), ["member_id", "elig_month"])
         .withColumn("copies", F.col("copies") * F.col("month_copies"))
         .drop("month_copies")
     )

@@ -77,7 +77,7 @@ def member_age(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     births = tables.members.select("member_id", "dob")
     months = cohort.covered_months
     totals = (
-        months.join(births, "member_id")
+        months.join(births.hint("merge"), "member_id")
         .groupBy(*status_keys(months))
         .agg(exact_sum("memmos * (datediff(elig_month, dob) / 365.25D)").alias("total_age"))
     )
@@ -160,7 +160,7 @@ def wellness_visits(tables: ClaimTables, cohort: Coverage, visits: DataFrame | N
     # moved left until the month's own bit is the highest, bits of later months have dropped out
     up_to = F.call_function("shiftleft", F.col("visits"), F.lit(63) - visit_bit(cohort, "elig_month"))
     by_month = (
-        months.join(visits, "member_id", "left")
+        months.join(visits.hint("merge"), "member_id", "left")
         .withColumn("up_to", F.coalesce(up_to, F.lit(0)))
         .withColumn("seen", F.col("up_to") != 0)
         .withColumn("recent", F.shiftrightunsigned("up_to", 64 - RECENT_MONTHS) != 0)

@@ -41,7 +41,7 @@ def betos_summary(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     )
     monthly = claims.groupBy("member_id", "elig_month", *KEYS).agg(F.sum("prm_costs").alias("costs"))
     summed = (
-        monthly.join(cohort.status_months, ["member_id", "elig_month"])
+        monthly.join(cohort.status_months.hint("merge"), ["member_id", "elig_month"])
         .groupBy(*KEYS, *cohort.status_columns)
         .agg(F.sum(F.col("costs") * F.col("copies")).alias("costs"))
     )

@@ -66,7 +66,7 @@ def decedents(tables: ClaimTables, cohort: Coverage) -> DataFrame:
         F.lit(1).alias("members"),
     )
     seen = months.where(F.col("memmos") != 0).groupBy(*keys).agg(F.collect_set("elig_status").alias("statuses"))
-    return died.join(seen, keys)
+    return died.join(seen.hint("merge"), keys)
 
 
 def final_care(tables: ClaimTables, cohort: Coverage) -> DataFrame:

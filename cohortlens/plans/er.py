@@ -70,7 +70,7 @@ def visit_summary(tables: ClaimTables, visits: DataFrame) -> DataFrame:
     cases = tables.decor_case.groupBy(F.col("member_id").alias("case_member"), "caseadmitid").agg(
         F.count(F.lit(1)).alias("case_rows"), *[F.sum(c).alias(c) for c in nyu]
     )
-    weighted = visits.join(cases, ["case_member", "caseadmitid"], "left")
+    weighted = visits.join(cases.hint("merge"), ["case_member", "caseadmitid"], "left")
     return weighted.groupBy(*status_keys(visits), "prm_line").agg(
         F.sum(F.col("util") * F.coalesce("case_rows", F.lit(1))).alias("util"),
         *[F.sum((F.col("util") * F.col(c)).cast(EXACT)).alias(c) for c in nyu],

@@ -119,7 +119,7 @@ def claim_amounts(tables: ClaimTables, cohort: Coverage) -> DataFrame:
         "member_id", "claimid", *ADD_ONS, "met", "costs",
         F.inline(F.filter(bases, lambda basis: basis["elig_month"].isNotNull())),
     )
-    rows = cohort.expanded(by_basis.join(cohort.status_months, ["member_id", "elig_month"]))
+    rows = cohort.expanded(by_basis.join(cohort.status_months.hint("merge"), ["member_id", "elig_month"]))
     return rows.groupBy("date_flag", "member_id", *status_keys(rows), "claimid", *ADD_ONS, "met").agg(
         F.sum(F.col("costs") * F.col("copies")).alias("costs")
     )

@@ -113,6 +113,32 @@ def test_no_join_tests_days_with_the_member_as_its_only_key(spark, name):
     assert not [line for line in by_day if re.search(r"Join \[[^,\]]+\],", line)]
 
 
+MEMBER_JOINS = [
+    "member_months_current", "line_totals", "cost_total", "er_visits", "inpatient_metrics", "betos_summary",
+    "truncation_summary", "wellness_visits_numer", "age_total", "decedents",
+]
+
+
+def broadcast_keys(frame) -> list[str]:
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Broadcast(?:HashJoin \[([a-z_]+)|NestedLoopJoin)", plan)
+
+
+@pytest.mark.parametrize("name", MEMBER_JOINS)
+def test_members_and_their_months_are_not_broadcast_on_an_estimate(spark, name):
+    """Estimates are of compressed files and do not count what an explode adds; here every one is below the threshold."""
+    keys = broadcast_keys(REGISTRY[name].run(spark, SF_DIR))
+    assert not {"", "member_id", "_member", "case_member"} & set(keys)
+
+
+def test_staged_months_are_not_broadcast_on_an_estimate(spark, tmp_path):
+    tables = domain_tables(spark, SF_DIR)
+    cohort = cohort_of(tables, CURRENT)
+    cohort = cohort.with_member_months(stage(cohort.member_months, str(tmp_path), "member_months"))
+    for frame in (cohort.calendar, basic.costs(tables, cohort), basic.member_age(tables, cohort)):
+        assert "member_id" not in broadcast_keys(frame)
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
