@@ -202,11 +202,12 @@ def build_member_months(tables: ClaimTables, period: ReportingPeriod, assignment
 def collapse_windows(windows: DataFrame) -> DataFrame:
     """Windows to member months in one aggregation: summed coverage, and the status of the latest window.
 
-    The greatest (end, start, status) triple stands in for a ranking window, so the choice is made map-side
-    and is the same on every run.
+    The greatest (end, start, status) triple stands in for a ranking window, so the choice is the same on every run.
+    Windows are dealt out by member first: there are few of a month to collapse, and a task that reads them would sort
+    all that it reads for that.
     """
     latest = F.max(F.struct("date_end", "date_start", "elig_status_1"))
-    return windows.groupBy("member_id", "elig_month").agg(
+    return windows.repartition("member_id").groupBy("member_id", "elig_month").agg(
         F.sum(F.col("memmos_medical").cast(EXACT_SHARE)).cast("double").alias("memmos"), latest["elig_status_1"].alias("elig_status")
     )
 
@@ -226,10 +227,12 @@ def coverage_windows(member_time_windows: DataFrame) -> DataFrame:
     """Distinct medical coverage windows; ``copies`` counts how often each one occurs.
 
     A claim counts once per window that holds it, so repeated windows have to keep their weight, but they
-    need not be joined one by one.
+    need not be joined one by one. They are dealt out by member before they are counted, as in ``collapse_windows``.
     """
     return (
         member_time_windows.where(F.col("cover_medical") == "Y")
+        .select("member_id", "date_start", "date_end")
+        .repartition("member_id")
         .groupBy("member_id", "date_start", "date_end")
         .agg(F.count(F.lit(1)).alias("copies"))
     )

@@ -139,6 +139,15 @@ def test_staged_months_are_not_broadcast_on_an_estimate(spark, tmp_path):
         assert "member_id" not in broadcast_keys(frame)
 
 
+@pytest.mark.parametrize("name", ["member_month_coverage", "coverage_windows", "member_months_current", "coverage_spans"])
+def test_windows_are_dealt_out_before_they_are_added_up(spark, name):
+    """There is little to add up in the task that reads them, which would hold all its groups at once."""
+    plan = REGISTRY[name].run(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for scan in re.finditer(r"FileScan parquet \[c_custkey", plan):
+        below = plan[plan[: scan.start()].rindex("Exchange hashpartitioning(member_id") : scan.start()]
+        assert "Aggregate" not in below and "Sort " not in below
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
