@@ -93,7 +93,7 @@ def index_episodes(tables: ClaimTables, cohort: Coverage) -> DataFrame:
     died = F.coalesce(F.col("death_date") <= F.col("pac_episode_end_date"), F.lit(False))
     by_episode = (
         attribute(daily, cohort, BY_STAY_MONTH)
-        .join(deaths(tables), "member_id", "left")
+        .join(deaths(tables).hint("merge"), "member_id", "left")
         .withColumn("died", F.when(died, "Y").otherwise("N"))
         .groupBy(*cohort.status_columns, "died", *dims)
         .agg(*[F.sum(F.col(c) * F.col("copies")).alias(c) for c in ("admits", "lines")])
