@@ -336,9 +336,11 @@ def from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line measures over claims that were bucketed by member."""
+    """Line measures over claims that were bucketed by member, into as many buckets as shuffles have partitions: a task
+    sorts a whole bucket, so their number has to follow the size of the claims as that of the partitions does."""
     folder, prefix = run_folder(spark), f"store_{uuid.uuid4().hex}_"
-    save_claim_store(domain_tables(spark, sf_dir), folder, prefix, buckets=8)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    save_claim_store(domain_tables(spark, sf_dir), folder, prefix, buckets=buckets)
     tables = read_claim_store(spark, folder, prefix)
     return lines.line_metrics(tables, build_cohort(tables, CURRENT))
 

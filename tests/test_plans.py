@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from checks.fixtures import domain_tables
 from checks.registry import CURRENT, REGISTRY, SCENARIOS
 from cohortlens import build_cohort, read_claim_tables
@@ -210,6 +211,24 @@ def test_bucketed_claims_meet_the_calendar_where_they_lie(spark, tmp_path):
         spark.sql("DROP TABLE plan_test_outclaims")
 
 
+def test_buckets_of_the_registered_store_follow_the_shuffle_partitions(spark, monkeypatch):
+    asked = []
+
+    def save(tables, folder, prefix, buckets):
+        asked.append(buckets)
+        raise InterruptedError
+
+    monkeypatch.setattr(registry, "save_claim_store", save)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        with pytest.raises(InterruptedError):
+            REGISTRY["lines_metrics_from_store"].run(spark, SF_DIR)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert asked == [5]
+
+
 def test_writing_few_files_leaves_the_stage_before_it_its_tasks(spark, tmp_path):
     rows = spark.range(0, 1000, 1, 16).select((F.col("id") % 7).alias("k"), "id")
     save_table(rows, f"{tmp_path}/few", max_files=3)
