@@ -234,12 +234,12 @@ SPARK_ONLY = {
 def domain_tables(spark: SparkSession, sf_dir: str) -> ClaimTables:
     """Every domain table as a lazy DataFrame over ``sf_dir``; unused columns are pruned by Catalyst.
 
-    Parts grow with the lines, and their keys alone look small enough to be broadcast for longer than a driver can hold
-    them: they are sort-merged.
+    Orders and parts grow with the lines, and their keys alone look small enough to be broadcast for longer than a driver
+    can hold them: they are sort-merged.
     """
     for name, schema in DRIVER_TABLES.items():
         table = spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
-        (table.hint("merge") if name == "part" else table).createOrReplaceTempView(name)
+        (table.hint("merge") if name in ("orders", "part") else table).createOrReplaceTempView(name)
     return ClaimTables(**{name: conform(_derive(spark, name), name) for name in PLAIN})
 
 

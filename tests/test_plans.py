@@ -132,6 +132,12 @@ def test_members_months_and_parts_are_not_broadcast_on_an_estimate(spark, name):
     assert not {"", "member_id", "_member", "case_member", "l_partkey"} & set(keys)
 
 
+@pytest.mark.parametrize("name", ["line_totals", "er_visits", "truncation_summary", "pac_episodes"])
+def test_orders_are_not_broadcast_on_an_estimate(spark, name):
+    """Their keys are three tenths of the estimate of their file, which is compressed."""
+    assert "l_orderkey" not in broadcast_keys(REGISTRY[name].run(spark, SF_DIR))
+
+
 def test_staged_months_are_not_broadcast_on_an_estimate(spark, tmp_path):
     tables = domain_tables(spark, SF_DIR)
     cohort = cohort_of(tables, CURRENT)
