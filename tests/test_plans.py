@@ -138,6 +138,15 @@ def test_orders_are_not_broadcast_on_an_estimate(spark, name):
     assert "l_orderkey" not in broadcast_keys(REGISTRY[name].run(spark, SF_DIR))
 
 
+@pytest.mark.parametrize(
+    "name", [*(f"attributed_claims_{policy}" for policy in registry.POLICIES), "discharges_to_snf", "imaging_and_visits"]
+)
+def test_what_lines_are_attributed_to_is_not_broadcast_on_an_estimate(spark, name):
+    """Each way of dating a line has joins of its own with members, months and spans."""
+    keys = broadcast_keys(REGISTRY[name].run(spark, SF_DIR))
+    assert not {"", "member_id", "_member", "l_partkey", "l_orderkey"} & set(keys)
+
+
 def test_staged_months_are_not_broadcast_on_an_estimate(spark, tmp_path):
     tables = domain_tables(spark, SF_DIR)
     cohort = cohort_of(tables, CURRENT)
